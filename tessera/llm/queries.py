@@ -5,9 +5,34 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessera.llm.common import table
+from tessera.llm.language import language_query
 from tessera.llm.sharding import shard
+from tessera.llm.topk import top_k
+
+
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64.0)
+
+
+OP1_SQL = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as e from embeddings
+  where vec_id is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), p as (
+  select q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.e, c.e) as bigint) as score
+  from v q join v c on q.vec_id <> c.vec_id and len(q.e) = len(c.e) where q.vec_id % 20 = 0
+), r as (
+  select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank, vec_id, score from p
+)
+select query_id, rank, vec_id, score from r where rank <= 20
+"""
+
+
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_query(table(spark, sf_dir, "documents"))
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,7 +40,9 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_topk": op1_topk,
+    "op4_language": op4_language,
     "op6_sharding": op6_sharding,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op1_topk": OP1_SQL}
