@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import table
 from tessera.llm.language import language_query
+from tessera.llm.pieces import encode_digests
 from tessera.llm.sharding import shard
 from tessera.llm.topk import top_k
+from tessera.llm.toxicity import toxicity_query
 
 
 def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,6 +34,10 @@ select query_id, rank, vec_id, score from r where rank <= 20
 """
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_query(table(spark, sf_dir, "documents"))
 
@@ -39,10 +46,16 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(table(spark, sf_dir, "documents"), shards=16)
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk": op1_topk,
+    "op3_toxicity": op3_toxicity,
     "op4_language": op4_language,
     "op6_sharding": op6_sharding,
+    "op7_sentencepiece": op7_sentencepiece,
 }
 
 ORACLES: dict[str, str] = {"op1_topk": OP1_SQL}
