@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import table
+from tessera.llm.html import extract_pages
 from tessera.llm.language import language_query
+from tessera.llm.packing import pack
 from tessera.llm.pieces import encode_digests
 from tessera.llm.sharding import shard
 from tessera.llm.topk import top_k
@@ -34,6 +36,10 @@ select query_id, rank, vec_id, score from r where rank <= 20
 """
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0, capacity=1024)
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -50,12 +56,18 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk": op1_topk,
+    "op2_packing": op2_packing,
     "op3_toxicity": op3_toxicity,
     "op4_language": op4_language,
     "op6_sharding": op6_sharding,
     "op7_sentencepiece": op7_sentencepiece,
+    "op8_html": op8_html,
 }
 
 ORACLES: dict[str, str] = {"op1_topk": OP1_SQL}
