@@ -116,19 +116,19 @@ def _shard_search(k: int) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame
         out = []
         if len(cand) and len(asked):
             sizes = cand["v"].map(len)
-            for d in asked["v"].map(len).unique():
+            for d in asked["asked_v"].map(len).unique():
                 own = cand[sizes == d]
                 if not len(own):
                     continue
                 own = own.assign(key=own["v"].map(lambda v: v.tobytes())).drop_duplicates(["vec_id", "key"])
                 points, ids = np.stack(own["v"].to_numpy()), own["vec_id"].to_numpy(np.int64)
                 tree = build(points.astype(np.float64), ids)
-                mine = asked[asked["v"].map(len) == d]
+                mine = asked[asked["asked_v"].map(len) == d]
                 for start in range(0, len(mine), 512):
                     part = mine.iloc[start : start + 512]
-                    qid = part["vec_id"].to_numpy(np.int64)
+                    qid = part["query_id"].to_numpy(np.int64)
                     known, known_id = part["known"].to_numpy(np.int64), part["known_id"].to_numpy(np.int64)
-                    s, i = search(tree, points, ids, np.stack(part["v"].to_numpy()), qid, k, known, known_id)
+                    s, i = search(tree, points, ids, np.stack(part["asked_v"].to_numpy()), qid, k, known, known_id)
                     keep_ = (s != NEVER) & ((s > known[:, None]) | ((s == known[:, None]) & (i <= known_id[:, None])))
                     row, _ = np.nonzero(keep_)
                     out.append(pd.DataFrame({"query_id": qid[row], "vec_id": i[keep_], "score": s[keep_]}))
@@ -152,7 +152,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: float = 64.0
     run = _shard_search(k)
     shape = "query_id long, vec_id long, score long"
     placed = whole.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
-    asked = placed.where("asked").dropDuplicates(["vec_id", "v"]).select("vec_id", "v", F.col("shard").alias("home"), F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int").alias("block"))
+    asked = placed.where("asked").dropDuplicates(["vec_id", "v"]).select(F.col("vec_id").alias("query_id"), F.col("v").alias("asked_v"), F.col("shard").alias("home"), F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int").alias("block"))
     cand = placed.select("shard", "vec_id", "v").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def shard_round(q: DataFrame) -> DataFrame:
@@ -161,9 +161,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: float = 64.0
     none = {"known": F.lit(NEVER).cast("long"), "known_id": F.lit((1 << 63) - 1).cast("long")}
     at_home = keep(shard_round(asked.withColumn("shard", F.col("home")).withColumns(none)), "top-k-home")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    kth = at_home.withColumn("r", F.row_number().over(best)).where(F.col("r") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("known"), F.col("vec_id").alias("known_id"))
+    kth = at_home.withColumn("r", F.row_number().over(best)).where(F.col("r") == k).select("query_id", F.col("score").alias("known"), F.col("vec_id").alias("known_id"))
     others = (
-        asked.join(kth, "vec_id", "left")
+        asked.join(kth, "query_id", "left")
         .fillna({"known": NEVER, "known_id": (1 << 63) - 1})
         .withColumn("shard", F.explode(F.filter(F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: s != F.col("home"))))
     )
