@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import table
 from tessera.llm.html import extract_pages
 from tessera.llm.language import language_query
+from tessera.llm.neardup import near_duplicate_query
 from tessera.llm.packing import pack
 from tessera.llm.pieces import encode_digests
 from tessera.llm.sharding import shard
@@ -60,6 +61,10 @@ def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_query(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk": op1_topk,
     "op2_packing": op2_packing,
@@ -68,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_sharding": op6_sharding,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_html": op8_html,
+    "op9_near_duplicates": op9_near_duplicates,
 }
 
 ORACLES: dict[str, str] = {"op1_topk": OP1_SQL}
