@@ -12,6 +12,8 @@ from tessera.llm.common import table
 from tessera.llm.fingerprint import fingerprints
 from tessera.llm.html import extract_pages
 from tessera.llm.language import language_query
+from tessera.llm.licenses import oracle as license_sql
+from tessera.llm.licenses import scan
 from tessera.llm.neardup import near_duplicate_query
 from tessera.llm.packing import pack
 from tessera.llm.pieces import encode_digests
@@ -50,6 +52,10 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_query(table(spark, sf_dir, "documents"))
 
 
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(table(spark, sf_dir, "documents"), shards=16)
 
@@ -75,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_toxicity": op3_toxicity,
     "op4_language": op4_language,
+    "op5_licenses": op5_licenses,
     "op6_sharding": op6_sharding,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_html": op8_html,
@@ -82,4 +89,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_fingerprints": op10_fingerprints,
 }
 
-ORACLES: dict[str, str] = {"op1_topk": OP1_SQL}
+ORACLES: dict[str, str] = {"op1_topk": OP1_SQL, "op5_licenses": license_sql()}
