@@ -1,7 +1,7 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraph digests, in SQL functions only.
 
-A text is cut into paragraph pieces: up to 4 words, then up to 8, 16 and 32 at a time from the start of
-each paragraph (line), so short texts have several pieces and long ones few. A piece's digest is
+Each paragraph (line) of a text is cut into pieces of up to 32 words; the first one begins with pieces of up to 4, 8
+and 16 words, so that short texts have several pieces and long ones few. A piece's digest is
 44 bits of its hash with a 20-bit checksum below them. A sketch is three rows of 16 cells; each digest is
 XORed into one cell of each row. Subtracting two sketches is XOR: digests that both texts have cancel.
 
@@ -35,48 +35,58 @@ LOAD, RETRIES = 16, 4
 
 def _pieces(text: str) -> str:
     """Distinct digests of the pieces of an SQL text column."""
-    start = "case i when 0 then 1 when 1 then 5 when 2 then 13 else 32 * i - 67 end"
-    size = "case i when 0 then 4 when 1 then 8 when 2 then 16 else 32 end"
-    of_line = f"transform(sequence(0, 2 + greatest(0, cast(ceil((size(ws) - 28) / 32) as int))), i -> array_join(slice(ws, {start}, {size}), ' '))"
-    lines = rf"flatten(transform(split({text}, '\n'), l -> transform(array(filter(split(l, '\\s+'), w -> w <> '')), ws -> filter({of_line}, p -> p <> ''))[0]))"
+    start = "if(n > 0, 32 * i + 1, case i when 0 then 1 when 1 then 5 when 2 then 13 else 32 * i - 67 end)"
+    size = "if(n > 0, 32, case i when 0 then 4 when 1 then 8 when 2 then 16 else 32 end)"
+    last = "if(n > 0, greatest(0, cast(ceil(size(ws) / 32) as int) - 1), 2 + greatest(0, cast(ceil((size(ws) - 28) / 32) as int)))"
+    of_line = f"transform(sequence(0, {last}), i -> array_join(slice(ws, {start}, {size}), ' '))"
+    lines = rf"flatten(transform(split({text}, '\n'), (l, n) -> transform(array(filter(split(l, '\\s+'), w -> w <> '')), ws -> filter({of_line}, p -> p <> ''))[0]))"
     return f"array_distinct(transform({lines}, p -> transform(array(xxhash64(p) & {KEY}L), k -> shiftleft(k, 20) | (xxhash64(k) & {CHECK}L))[0]))"
 
 
-def _place(i: str, h: str) -> str:
-    """Whether cell number i is one of the three of position hash h."""
-    return f"({i} = ({h} & 15) or {i} = 16 + (shiftright({h}, 4) & 15) or {i} = 32 + (shiftright({h}, 8) & 15))"
+def _entry(x: str, level: str) -> str:
+    """A digest with its cells p, q, r, one in each row, and the hash g that deals it to a table of larger sketches."""
+    cells = ", ".join(f"'{name}', cast({ROW * r} + (shiftrightunsigned(h, {12 * r}) & {ROW - 1}) as int)" for r, name in enumerate("pqr"))
+    return f"transform(array(xxhash64({x}, {level})), h -> named_struct('x', {x}, {cells}, 'g', shiftrightunsigned(h, 40)))[0]"
 
 
-def _cells(entries: str) -> str:
-    """The table of an array of (x, h): digests and their position hashes."""
-    return f"aggregate({entries}, array_repeat(0L, {CELLS}), (t, e) -> transform(t, (c, i) -> if({_place('i', 'e.h')}, c ^ e.x, c)))"
+def _entries(digests: str, level: str) -> str:
+    return f"transform({digests}, x -> {_entry('x', level)})"
+
+
+def _without(table: str, e: str) -> str:
+    """A table with an entry XORed into its cells, which puts it in or takes it out."""
+    return f"transform({table}, (c, i) -> if(i = {e}.p or i = {e}.q or i = {e}.r, c ^ {e}.x, c))"
 
 
-def _entries(digests: str, level: int) -> str:
-    return f"transform({digests}, x -> named_struct('x', x, 'h', xxhash64(x, {level})))"
+def _cells(entries: str) -> str:
+    """The table of an array of entries."""
+    return f"aggregate({entries}, array_repeat(0L, {CELLS}), (t, e) -> {_without('t', 'e')})"
 
 
-def _peel(cells: str, most: str, level: int) -> str:
-    """The number of digests in a table, or null if cells remain. most: steps that suffice if it can be emptied."""
+def _peel(cells: str, level: str) -> str:
+    """The number of digests in a table, or null if cells remain. A table that can be emptied holds fewer than CELLS."""
     pure = f"get(filter(s.t, c -> c <> 0 and (c & {CHECK}L) = (xxhash64(shiftrightunsigned(c, 20)) & {CHECK}L)), 0)"
-    taken = f"transform(s.t, (c, i) -> if({_place('i', 'k.h')}, c ^ k.x, c))"
-    step = f"transform(array({pure}), x -> if(x is null, named_struct('t', s.t, 'd', s.d, 'done', true), transform(array(named_struct('x', x, 'h', xxhash64(x, {level}))), k -> named_struct('t', {taken}, 'd', s.d + 1, 'done', false))[0]))[0]"
-    return f"aggregate(sequence(0, {most}), named_struct('t', {cells}, 'd', 0, 'done', false), (s, n) -> if(s.done, s, {step}), s -> if(exists(s.t, c -> c <> 0), cast(null as int), s.d))"
+    step = f"transform(array({pure}), x -> if(x is null, named_struct('t', s.t, 'd', s.d, 'done', true), transform(array({_entry('x', level)}), k -> named_struct('t', {_without('s.t', 'k')}, 'd', s.d + 1, 'done', false))[0]))[0]"
+    return f"aggregate(sequence(0, {CELLS}), named_struct('t', {cells}, 'd', 0, 'done', false), (s, n) -> if(s.done, s, {step}), s -> if(exists(s.t, c -> c <> 0), cast(null as int), s.d))"
+
 
+def _difference(p: str) -> str:
+    """The size of the symmetric difference of a pair p: digests a and b, sketches fa and fb.
 
-def _difference(a: str, b: str, fa: str, fb: str) -> str:
-    """The size of the symmetric difference of two digest arrays, from their sketches fa and fb or larger ones."""
-    tries = [_peel(f"zip_with({fa}, {fb}, (x, y) -> x ^ y)", str(CELLS), 0)]
-    for level in range(1, RETRIES + 1):
-        # tables: a power of two; XOR being subtraction, one pass over both arrays makes the difference of the two sketches
-        n = f"cast(shiftleft(1, cast(greatest(0, ceil(log2((size({a}) + size({b}) + 1) / {LOAD}))) as int)) * {4 ** (level - 1)} as int)"
-        table = _peel(_cells("filter(es, e -> (shiftrightunsigned(e.h, 16) & (tables - 1)) = g)"), str(CELLS), level)
-        tries.append(f"transform(array({_entries(f'concat({a}, {b})', level)}), es -> transform(array({n}), tables -> aggregate(transform(sequence(0, tables - 1), g -> {table}), 0, (m, d) -> m + d))[0])[0]")
-    return f"coalesce({', '.join(tries)})"
+    Level 0 subtracts the sketches; each further level makes a larger one: a power of two of tables. XOR being
+    subtraction, one pass over both arrays of digests gives the difference of the two larger sketches.
+    """
+    both = f"size({p}.a) + size({p}.b)"
+    tables = f"cast(shiftleft(1, cast(greatest(0, ceil(log2(({both} + 1) / {LOAD}))) as int) + 2 * (level - 1)) as int)"
+    one = _cells("filter(es, e -> (e.g & (m - 1)) = g)")
+    larger = f"transform(array({_entries(f'concat({p}.a, {p}.b)', 'level')}), es -> transform(array({tables}), m -> transform(sequence(0, m - 1), g -> {one}))[0])[0]"
+    made = f"if(level = 0, array(zip_with({p}.fa, {p}.fb, (x, y) -> x ^ y)), {larger})"
+    return f"aggregate(sequence(0, {RETRIES}), cast(null as int), (found, level) -> if(found is not null, found, aggregate(transform({made}, t -> {_peel('t', 'level')}), 0, (m, d) -> m + d)))"
 
 
-def _likeness(a: str, b: str, difference: str) -> str:
-    return f"if(size({a}) + size({b}) = 0, 1.0D, greatest(0.0D, 1.0D - coalesce({difference}, size({a}) + size({b})) / cast(size({a}) + size({b}) as double)))"
+def _likeness(p: str) -> str:
+    both = f"(size({p}.a) + size({p}.b))"
+    return f"if({both} = 0, 1.0D, 1.0D - coalesce({_difference(p)}, {both}) / cast({both} as double))"
 
 
 def _text_of(cells: str) -> str:
@@ -123,15 +133,18 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = with_next(docs, id_col, text_col)
     tail = F.floor(F.length("text") / 4).cast("int")
     edited = rows.withColumn("edited", F.concat(F.expr("substring(text, 1, length(text) - cast(floor(length(text) / 4) as int))"), F.substring("next_text", F.lit(1), tail)))
-    cut = edited.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), "digests", "next_digests", F.expr(_pieces("edited")).alias("edited_digests"))
-    tables = {f"{x}cells": F.expr(_cells(_entries(f"{x}digests", 0))) for x in ("", "edited_", "next_")}
-    sketched = cut.withColumns(tables)
-    return sketched.select(
+    digests = F.expr(f"array(digests, {_pieces('edited')}, next_digests)").alias("digests")
+    cut = edited.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), digests)
+    # one expression for all sketches and one for both pairs: what a task compiles stays small
+    sketched = cut.withColumn("cells", F.expr(f"transform(digests, ds -> {_cells(_entries('ds', '0'))})"))
+    pairs = ", ".join(f"named_struct('a', digests[0], 'b', digests[{k}], 'fa', cells[0], 'fb', cells[{k}])" for k in (1, 2))
+    compared = sketched.withColumn("near", F.expr(f"transform(array({pairs}), p -> {_likeness('p')})"))
+    return compared.select(
         "doc_id",
         "n_chars",
         "edited_sha256",
-        F.expr(_text_of("cells")).alias("fingerprint"),
-        F.expr(_text_of("edited_cells")).alias("edited_fingerprint"),
-        F.expr(_likeness("digests", "edited_digests", _difference("digests", "edited_digests", "cells", "edited_cells"))).alias("near_edited"),
-        F.expr(_likeness("digests", "next_digests", _difference("digests", "next_digests", "cells", "next_cells"))).alias("near_next"),
+        F.expr(_text_of("cells[0]")).alias("fingerprint"),
+        F.expr(_text_of("cells[1]")).alias("edited_fingerprint"),
+        F.expr("near[0]").alias("near_edited"),
+        F.expr("near[1]").alias("near_next"),
     )
