@@ -109,7 +109,7 @@ class Parser:
             codes = [x for c in parts for x in (*c.tolist(), GAP)]
             tables.append(automaton(codes, self.alphabet.size))
         self.width = self.alphabet.size + 1
-        self.roots = np.cumsum([0] + [len(t) for t in tables[:-1]]).astype(np.int32)
+        self.roots = (np.cumsum([len(t) for t in tables]) - [len(t) for t in tables]).astype(np.int32)
         # negative entries count down by the root too: ~value is the global state after a new start
         self.table = np.concatenate([np.where(t < 0, t - r, t + r) for t, r in zip(tables, self.roots)]).astype(np.int32).ravel() if tables else np.zeros(0, np.int32)
 

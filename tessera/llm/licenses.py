@@ -89,6 +89,8 @@ RULES = [
 CATEGORIES = {"GPL": "copyleft", "LGPL": "copyleft", "AGPL": "copyleft", "MPL": "copyleft", "CC-BY-SA": "copyleft", "CC-BY-NC": "restricted", "CC-BY-ND": "restricted", "proprietary": "restricted"}
 GRANT = "^(?:(?:this|the) [a-z]+ is |it is |code is )?(?:dual )?(?:licensed|licenced|released|distributed|available|published|provided|made available) under (?:the terms of )?(?:the |a |an )?(.+?)(?: license| licence)?$"
 SPDX = "^(?:.*[^a-z])?spdx license identifier (.+)$"
+#: The tag's colon does not end a sentence.
+SPDX_TAG = "(?i)(spdx-license-identifier):"
 HINT = "(?i)licen[sc]e|rights reserved|public domain|redistribut|permission|free software|warrant|under the|under cc|obtain a copy"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -116,7 +118,8 @@ def _map(values: dict[str, str]) -> Column:
 
 def _identifiers(text: Column) -> Column:
     """The identifiers of a text's known sentences, in order."""
-    parts = F.split(F.regexp_replace(text, "([.!?;:])[ \t\r\n]+", "$1\n"), "\n")
+    tagged = F.regexp_replace(text, SPDX_TAG, "$1")
+    parts = F.split(F.regexp_replace(tagged, "([.!?;:])[ \t\r\n]+", "$1\n"), "\n")
     normal_ = F.transform(parts, lambda s: F.trim(F.regexp_replace(F.translate(s, UPPER, LOWER), "[^a-z0-9]+", " ")))
     # few sentences speak of licences; the others need no look-up
     some = F.filter(normal_, lambda s: s.rlike("licen[sc]e|rights reserved|public domain|redistribut|permission|free software|warrant|under|obtain a copy|copyright"))
@@ -163,7 +166,7 @@ def oracle() -> str:
     known, named = as_map({normal(v): k for k, v in SENTENCES.items()}), as_map(names())
 
     def read(text: str) -> str:
-        parts = f"string_split(regexp_replace({text}, '([.!?;:])[ \\t\\r\\n]+', '\\1' || chr(10), 'g'), chr(10))"
+        parts = f"string_split(regexp_replace(regexp_replace({text}, '{SPDX_TAG}', '\\1', 'g'), '([.!?;:])[ \\t\\r\\n]+', '\\1' || chr(10), 'g'), chr(10))"
         norm = f"list_transform({parts}, lambda s: trim(regexp_replace(translate(s, '{UPPER}', '{LOWER}'), '[^a-z0-9]+', ' ', 'g'), ' '))"
         one = f"coalesce(k[s], n[regexp_extract(s, {_quoted(GRANT)}, 1)], n[regexp_extract(s, {_quoted(SPDX)}, 1)])"
         return f"list_filter(list_transform({norm}, lambda s: {one}), lambda i: i is not null)"
