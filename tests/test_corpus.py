@@ -1,0 +1,191 @@
+import gzip
+import json
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from tessera.config import CorpusConfig, TrainerView
+from tessera.operators import splits, stats
+from tessera.operators.cleaning import clean_records, contiguity_violations, mark_duplicates, quality_checked
+from tessera.plans.corpus import build
+from tessera.sources import downloads, readers, writers
+
+A = "BGP chooses paths using attributes and routing policy. " * 8
+B = "OSPF floods link-state advertisements through an area. " * 8
+C = "DHCPv6 assigns addressing information to network clients. " * 8
+SHAPE = readers.RECORD + ", ord long"
+
+
+def records(spark, rows):
+    full = [(i, s, d, d, "MIT", "en", t, "snap", "", 0, '{"k": {"n": 1}}', n) for n, (i, s, d, t) in enumerate(rows)]
+    return spark.createDataFrame(full, SHAPE)
+
+
+@pytest.fixture
+def fixture(spark):
+    return records(spark, [("a-1", "fixture", "same", A), ("a-2", "fixture", "same", B), ("dup-a", "second", "other", A.lower()), ("dup-b", "second", "other", B), ("c-1", "fixture", "third", C), ("short", "fixture", "bad", "too short")])
+
+
+def test_clean_and_split_without_leakage(spark, fixture, tmp_path):
+    out = build(fixture, str(tmp_path / "out"), str(tmp_path / "work"))
+    clean = out["clean"]
+    assert clean["accepted_records"] == 3 and clean["accepted_documents"] == 2
+    assert clean["rejected_by_reason"] == {"exact_duplicate_document": 2, "too_short": 1}
+    assert clean["duplicate_documents_by_source"] == {"second": 1} and clean["input_documents_by_source"] == {"fixture": 3, "second": 1}
+    parts = {s: spark.read.parquet(str(tmp_path / "out" / f"{s}.parquet")) for s in splits.SPLITS}
+    rows = [(s, r) for s, p in parts.items() for r in p.collect()]
+    assert sorted(r["id"] for _, r in rows) == ["a-1", "a-2", "c-1"] and len({(s, r["document"]) for s, r in rows}) == 2
+    meta = json.loads(rows[0][1]["metadata"])
+    assert meta["k"] == {"n": 1} and len(meta["document_exact_sha256"]) == 64
+    assert json.load(open(tmp_path / "out" / "dataset_manifest.json"))["records"] == out["split"]["records"]
+    assert os.path.exists(tmp_path / "out" / "train.parquet" / "_SUCCESS")
+
+
+def test_duplicates_name_the_first(spark, fixture):
+    checked = quality_checked(fixture).persist()
+    _, rejected = clean_records(checked)
+    assert {(r["id"], r["reason"], tuple(r["duplicate_of"]) if r["duplicate_of"] else None) for r in rejected.collect()} == {
+        ("short", "too_short", None), ("dup-a", "exact_duplicate_document", ("fixture", "same")), ("dup-b", "exact_duplicate_document", ("fixture", "same")),
+    }
+    df = spark.createDataFrame([("x", 3, "a"), ("x", 1, "b"), ("y", 2, "c")], "fp string, o int, d string")
+    assert {(r["d"], r["duplicate_of"]["d"] if r["duplicate_of"] else None) for r in mark_duplicates(df, "fp", "o", ["d"]).collect()} == {("a", "b"), ("b", None), ("c", None)}
+
+
+def test_sources_are_split_apart(spark):
+    docs = spark.createDataFrame([(s, f"d{i}") for s in ("frrouting", "sonic") for i in range(40)], "source string, document string")
+    got = {(r["source"], r["split"]): r["count"] for r in splits.assign_by_source(docs).groupBy("source", "split").count().collect()}
+    assert got == {(s, k): n for s in ("frrouting", "sonic") for k, n in (("train", 36), ("validation", 2), ("test", 2))}
+
+
+def test_allocation(spark):
+    wanted = {1: (1, 0, 0), 2: (2, 0, 0), 9: (8, 1, 0), 10: (9, 1, 0), 11: (10, 1, 0), 19: (17, 1, 1), 20: (18, 1, 1), 30: (27, 2, 1), 40: (36, 2, 2), 50: (45, 3, 2)}
+    df = spark.createDataFrame([(n,) for n in wanted], "n long")
+    assert {r[0]: tuple(r)[1:] for r in df.select("n", *splits.allocate_counts(F.col("n"))).collect()} == wanted
+
+
+@pytest.mark.parametrize("n,sizes", [(1, (1, 0, 0)), (19, (17, 1, 1)), (20, (18, 1, 1)), (29, (27, 1, 1)), (30, (26, 2, 2)), (50, (46, 2, 2))])
+def test_shares_round_half_to_even(spark, n, sizes):
+    got = {r["split"]: r["count"] for r in splits.assign_by_share(spark.createDataFrame([(f"i{i}",) for i in range(n)], "id string"), "id").groupBy("split").count().collect()}
+    assert tuple(got.get(s, 0) for s in splits.SPLITS) == sizes
+
+
+def test_groups_are_held_out(spark):
+    rows = spark.createDataFrame([(f"{t}{i}", t) for t in "abcde" for i in range(2)], "id string, kind string")
+    got = {r["group"]: r["split"] for r in splits.assign_groups(rows, "kind").collect()}
+    assert sorted(got) == list("abcde") and sorted(got.values()) == ["test", "train", "train", "train", "validation"]
+    with pytest.raises(Exception, match="at least three"):
+        splits.assign_groups(rows.where("kind < 'c'"), "kind").collect()
+
+
+def test_percentiles_and_view(spark):
+    df = spark.createDataFrame([("g", i) for i in range(1, 21)] + [("h", 5)], "g string, v long")
+    got = {r["g"]: tuple(r)[1:] for r in stats.length_summary(df, "g", F.col("v")).collect()}
+    assert got == {"g": (20, 10, 18, 19, 20, 20), "h": (1, 5, 5, 5, 5, 5)}
+    assert splits.take_subset(df, None, "v").count() == 21 and splits.take_subset(df, 4, "v").count() == 4 and splits.take_subset(df, 99, "v").count() == 21
+    with pytest.raises(ValueError):
+        splits.take_subset(df, 0, "v")
+    assert TrainerView().global_batch == 128
+    with pytest.raises(ValueError):
+        TrainerView(packing="other").validate()
+    with pytest.raises(ValueError):
+        CorpusConfig(ratios=(0.9, 0.2, 0.1)).validate()
+    with pytest.raises(ValueError):
+        CorpusConfig(enabled_sources=("nowhere",)).validate()
+
+
+def test_contiguity(spark):
+    df = spark.createDataFrame([(0, "a", 1), (0, "a", 2), (0, "b", 3), (0, "a", 4), (1, "b", 5)], "f int, d string, ord int")
+    assert [(r["f"], r["d"], r["runs"]) for r in contiguity_violations(df, ["d"], ["f"]).collect()] == [(0, "a", 2)]
+
+
+def test_article_and_collection_sources(spark, tmp_path):
+    (tmp_path / "tele" / "standard").mkdir(parents=True)
+    lines = [{"ID": "standard-1", "Category": "standard", "Content": A, "Metadata": {"title": "T"}}, {"id": "2", "content": B, "metadata": "free text"}]
+    with gzip.open(tmp_path / "tele" / "standard" / "x.jsonl.gz", "wt") as f:
+        f.write("﻿" + "\n\n".join(map(json.dumps, lines)) + "\n")
+    got = readers.article_records(readers.read_jsonl(spark, str(tmp_path / "tele")), "tele-revision").orderBy("ord").collect()
+    assert [(r["document"], r["title"], r["section"], r["snapshot"]) for r in got] == [("standard/standard-1", "T", "standard", "tele-revision"), ("standard/2", "2", "standard", "tele-revision")]
+    assert json.loads(got[0]["metadata"]) == {"category": "standard", "upstream": {"title": "T"}} and json.loads(got[1]["metadata"])["upstream"] == {"raw": "free text"}
+    df = spark.createDataFrame([("RFC1234", "IETF-RFCs", None, "en", "T", 7, A, "pub"), (None, None, "L", None, None, 0, B, None)], "identifier string, collection string, license string, language string, title string, token_count long, text string, publisher string")
+    df.write.parquet(str(tmp_path / "gsma"))
+    got = {r["title"]: r for r in readers.collection_records(readers.read_parquet_rows(spark, str(tmp_path / "gsma")), "gsma-revision").collect()}
+    r = got["T"]
+    assert (r["document"], r["license"], r["estimated_tokens"], r["snapshot"]) == ("IETF-RFCs/RFC1234", "UNKNOWN_REVIEW_REQUIRED", 7, "gsma-revision")
+    assert json.loads(r["metadata"]) == {"collection": "IETF-RFCs", "publisher": "pub"}
+    (other,) = [x for t, x in got.items() if t != "T"]
+    assert other["document"].startswith("unknown/row-") and other["language"] == "en" and other["license"] == "L" and other["estimated_tokens"] == 110
+
+
+def test_bad_lines(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text('{"a": 1}\n[1]\n')
+    assert [r[0] for r in readers.read_jsonl(spark, str(tmp_path), strict=False).orderBy("ord").select(F.col("v").isNull()).collect()] == [False, True]
+    with pytest.raises(Exception, match="not a JSON object"):
+        readers.read_jsonl(spark, str(tmp_path)).select(F.to_json("v")).collect()
+
+
+def test_repository_and_manual(spark, tmp_path):
+    root = tmp_path / "repo"
+    (root / "doc").mkdir(parents=True)
+    (root / "doc" / "a.rst").write_bytes(b"Pre\n\nOne\n---\nx \xff\n")
+    (root / "doc" / "b.md").write_text("# H\nbody\n## K\nmore")
+    rst = readers.repository_records(readers.read_whole_files(spark, str(root), ("*.rst",)), "frrouting", str(root), "rev", ["COPYING"], False).orderBy("ord").collect()
+    assert [(r["document"], r["title"], r["section"], r["text"]) for r in rst] == [("doc/a.rst", "a", "doc/a.rst#0", "Pre"), ("doc/a.rst", "One", "doc/a.rst#1", "One\n---\nx �")]
+    assert json.loads(rst[0]["metadata"]) == {"path": "doc/a.rst", "repository_license_files": ["COPYING"]}
+    md = readers.repository_records(readers.read_whole_files(spark, str(root), ("*.md",)), "sonic", str(root), "rev", [], True).collect()
+    assert sorted(r["title"] for r in md) == ["H", "K"]
+    (tmp_path / "kea").mkdir()
+    (tmp_path / "kea" / "m.md").write_text("# Kea\n## Release Notes\nx\n## DHCP\ny\x00z")
+    got = readers.manual_records(readers.read_whole_files(spark, str(tmp_path / "kea")), "rev", "v1", "Manual").collect()
+    assert [(r["title"], r["section"], r["text"]) for r in got] == [("DHCP", "chapter-1", "## DHCP\nyz")] and got[0]["document"].startswith("Kea-ARM-v1/0001-")
+    merged = readers.union_sources({"sonic": readers.repository_records(readers.read_whole_files(spark, str(root), ("*.md",)), "sonic", str(root), "rev", [], True)})
+    assert {r["ord"]["source"] for r in merged.collect()} == {3}
+    assert readers.license_files(["LICENSE.txt", "COPYING", "README"]) == ["COPYING", "LICENSE.txt"]
+
+
+def test_records_and_identity(spark):
+    df = spark.createDataFrame([("x", None, "{bad"), ("", 3, None)], "id string, estimated_tokens long, metadata string")
+    got = readers.records_from_rows(df).collect()
+    assert [r["metadata"] for r in got] == ['{"raw_metadata":"{bad"}', "{}"] and [r["estimated_tokens"] for r in got] == [0, 3] and got[0]["text"] == ""
+    with pytest.raises(Exception, match="record without"):
+        readers.require_identity(readers.records_from_rows(df)).collect()
+
+
+def test_jsonl_round_trip_and_splits(spark, tmp_path):
+    df = spark.createDataFrame([(1, "b\n", None)], "z int, a string, n string")
+    writers.write_jsonl(df, str(tmp_path / "j"))
+    (f,) = [p for p in (tmp_path / "j").iterdir() if p.name.endswith(".gz") and p.name.startswith("part")]
+    assert gzip.open(f, "rt").read() == '{"a":"b\\n","z":1}\n'
+    rows = writers.write_splits(spark.createDataFrame([("t", "train")], "text string, split string"), str(tmp_path / "s"))
+    assert rows == {"train": 1, "validation": 0, "test": 0}
+    with pytest.raises(ValueError, match="validation is empty"):
+        readers.load_splits(spark, str(tmp_path / "s"))
+    trace = writers.TraceWriter(str(tmp_path / "trace.jsonl"))
+    trace.log(3, {"loss": 1.5, "skip": [1]})
+    assert json.loads((tmp_path / "trace.jsonl").read_text()) == {"step": 3, "loss": 1.5}
+
+
+def test_downloads(tmp_path):
+    calls = []
+
+    def fetch(**kw):
+        calls.append(kw)
+        os.makedirs(kw["local_dir"])
+        open(f"{kw['local_dir']}/x.parquet", "w").close()
+
+    for _ in range(2):
+        m = downloads.hub_snapshot("owner/name", tmp_path / "hub" / "d", revision=lambda d: "sha1", download=fetch)
+    assert m["revision"] == "sha1" and m["files"] == 1 and len(calls) == 1 and downloads.revision_of(m) == "sha1"
+    import zipfile
+
+    with zipfile.ZipFile(tmp_path / "z.zip", "w") as z:
+        z.writestr("../evil", "x")
+    with pytest.raises(RuntimeError, match="unsafe"):
+        downloads.unpack(tmp_path / "z.zip", tmp_path / "u")
+    with pytest.raises(RuntimeError, match="digest"):
+        downloads.unpack(tmp_path / "z.zip", tmp_path / "u", md5="0")
+    (tmp_path / "plain").mkdir()
+    with pytest.raises(RuntimeError, match="not a repository"):
+        downloads.clone("u", tmp_path / "plain")
+    (tmp_path / "f").write_bytes(b"abc")
+    assert downloads.fetch_file((tmp_path / "f").as_uri(), tmp_path / "got" / "f")["sha256"] == downloads.digest_of(tmp_path / "f")
