@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+BATCH_ROWS = 1000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -30,6 +33,14 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """Texts are long: no more than BATCH_ROWS of them go to Python at once (Spark also limits a batch's bytes)."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(conf.get(name, "10000")) > BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+    return df
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

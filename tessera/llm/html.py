@@ -24,6 +24,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import small_batches
+
 _TAG = re.compile(r"""<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|</?[a-zA-Z][^>]*\Z""", re.S)
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _PART = re.compile(r"[a-z]+|[A-Z][a-z]*")
@@ -239,5 +241,5 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
         for pages_ in batches:
             yield pd.Series([extract(h or "") for h in pages_], dtype=object)
 
-    got = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), run(F.col(html_col)).alias("text"))
+    got = small_batches(pages).select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), run(F.col(html_col)).alias("text"))
     return got.withColumn("n_chars", F.length("text").cast("long"))

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tessera.llm.common import held_out, learnable
+from tessera.llm.common import held_out, learnable, small_batches
 
 LANE = 128
 LETTERS = 62
@@ -198,7 +198,7 @@ def identify(docs: DataFrame, samples: tuple[tuple[str, str], ...], text_col: st
             langs, scores = (langs + a)[: len(texts)], (scores + b)[: len(texts)]
             yield pd.DataFrame({lang_out: langs, score_out: scores})
 
-    return docs.withColumn("_identified", predict(F.col(text_col))).select(*[F.col(f"`{c}`") for c in docs.columns], F.col(f"_identified.{lang_out}"), F.col(f"_identified.{score_out}"))
+    return small_batches(docs).withColumn("_identified", predict(F.col(text_col))).select(*[F.col(f"`{c}`") for c in docs.columns], F.col(f"_identified.{lang_out}"), F.col(f"_identified.{score_out}"))
 
 
 def language_query(docs: DataFrame) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
-from tessera.llm.common import keep, partitions
+from tessera.llm.common import keep, partitions, small_batches
 
 CAPACITY = 1024
 SLACK = 64
@@ -141,7 +141,7 @@ def pack(docs: DataFrame, path: str, end_id: int = 0, capacity: int = CAPACITY,
     """One row for each piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     spark = docs.sparkSession
     out = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    source = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     made = source.mapInPandas(_pieces(path, end_id, capacity), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, class int")
     buckets = 4 * partitions(spark)
     pieces = keep(made.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "start"), F.lit(buckets)).cast("int")), "pieces")

@@ -28,6 +28,8 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import small_batches
+
 MARK = "▁"
 UNIT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 #: Units up to this length are kept in the cache, this many in each of its two generations.
@@ -233,4 +235,4 @@ def encode_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
         for texts in batches:
             yield pd.DataFrame([model.digest(t or "") for t in texts], columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return docs.select(F.col(id_col).alias("doc_id"), run(F.col(text_col)).alias("x")).select("doc_id", "x.*")
+    return small_batches(docs).select(F.col(id_col).alias("doc_id"), run(F.col(text_col)).alias("x")).select("doc_id", "x.*")

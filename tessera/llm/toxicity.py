@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tessera.llm.common import held_out, keep, learnable
+from tessera.llm.common import held_out, keep, learnable, small_batches
 
 # Letters of other alphabets that look like Latin ones, and signs used for letters.
 LOOK_ALIKE = {
@@ -154,7 +154,7 @@ def learn(docs: DataFrame, labels: DataFrame, rows_per_class: int = 2500, most_t
         .select("id", "y", F.col("h").bitwiseAND(1).cast("int").alias("half"))
     )
     # at most 2 * rows_per_class ids
-    sample = keep(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.col("text").isNotNull()).join(F.broadcast(rows), "id").select("y", "half", "text"), "toxicity-sample")
+    sample = keep(small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.col("text").isNotNull()).join(F.broadcast(rows), "id").select("y", "half", "text"), "toxicity-sample")
     sizes = {(r["half"], r["y"]): r["n"] for r in sample.groupBy("half", "y").agg(F.count(F.lit(1)).alias("n")).collect()}
     n = [(sizes.get((h, 1), 0), sizes.get((h, 0), 0)) for h in (0, 1)]
     both = (n[0][0] + n[1][0], n[0][1] + n[1][1])
