@@ -1,7 +1,9 @@
 """Sharding by minimax contiguous partition.
 
-Texts are ordered by a 64-bit hash; all rows of one hash form an atomic group, so equal texts stay
-together. The smallest shard capacity that lets a greedy sweep cover the ordered groups with the
+All rows whose texts have one 64-bit hash form an atomic group, so equal texts stay together. Groups are ordered by
+that hash, but for the large ones (over 1 / SHARE of a shard, so at most SHARE for each shard): those are dealt
+in turn, by falling size, to the beginnings of equal hash ranges, one for each shard, so that cuts tend to fall among small groups.
+The smallest shard capacity that lets a greedy sweep cover the ordered groups with the
 given number of shards is found by binary search, and the sequence is cut where that sweep cuts.
 
 The sweep never sees single groups of the whole corpus. It works on segments of the hash order
@@ -26,6 +28,7 @@ from pyspark.sql.window import Window
 from tessera.llm.common import keep, partitions
 
 LEVEL_BITS = 14
+SHARE = 256
 SCHEMA = "doc_id long, size long, text_crc32 long, law string, shard int, slot long, grown_shard int"
 
 
@@ -102,6 +105,24 @@ def cut_keys(narrow: DataFrame, shards: int) -> tuple[int, list[int]]:
         shift = finer
 
 
+def in_order(narrow: DataFrame, shards: int) -> DataFrame:
+    """narrow with key as the place of the row's group in the order."""
+    total = narrow.agg(F.sum("size")).first()[0] or 0
+    # groups of at least 1 / (SHARE * shards) of all bytes: there cannot be more than SHARE * shards of them
+    least = max(1, -(-total // (SHARE * shards)))
+    large = narrow.groupBy("key").agg(F.sum("size").alias("n")).where(F.col("n") >= least).collect()
+    width = (1 << 64) // shards
+    places = []
+    for rank, r in enumerate(sorted(large, key=lambda r: (-r["n"], r["key"]))):
+        turn, lane = divmod(rank, shards)
+        lane = shards - 1 - lane if turn % 2 else lane
+        places.append((r["key"], -(1 << 63) + lane * width + turn * (width // (32 * SHARE))))
+    if not places:
+        return narrow
+    moved = narrow.sparkSession.createDataFrame(places, "key long, place long")
+    return narrow.join(F.broadcast(moved), "key", "left").withColumn("key", F.coalesce("place", "key")).drop("place")
+
+
 def shard(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each document: doc_id, size, text_crc32, law, shard, slot, grown_shard (null)."""
     spark = docs.sparkSession
@@ -115,6 +136,7 @@ def shard(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: s
         ),
         "shard-sizes",
     )
+    narrow = in_order(narrow, shards)
     _, cuts = cut_keys(narrow, shards)
     number = sum([(F.col("key") > F.lit(c)).cast("int") for c in cuts], F.lit(0)).cast("int")
     # a shard is dealt to many tasks by a hash of the row; each part's first slot is a running sum of counts

@@ -41,11 +41,21 @@ def test_minimax_over_the_hash_order(spark, monkeypatch):
     check(rows, got, 7)
     from pyspark.sql import functions as F
 
-    sized = df.groupBy(F.xxhash64("text").alias("k")).agg(F.sum(F.octet_length("text") + 1).alias("n")).orderBy("k").collect()
+    narrow = df.select(F.xxhash64("text").alias("key"), (F.octet_length("text").cast("long") + 1).alias("size"))
+    sized = sharding.in_order(narrow, 7).groupBy("key").agg(F.sum("size").alias("n")).orderBy("key").collect()
     load = defaultdict(int)
     for x in got:
         load[x["shard"]] += x["size"]
-    assert max(load.values()) <= smallest_capacity([x["n"] for x in sized], 7)
+    assert max(load.values()) == smallest_capacity([x["n"] for x in sized], 7) == 700 * 73
+
+
+def test_shards_are_even(spark):
+    rows = [(i, "x" * (i * i % 5000)) for i in range(1200)]
+    load = defaultdict(int)
+    for x in shard(spark.createDataFrame(rows, "doc_id long, text string"), shards=8).collect():
+        load[x["shard"]] += x["size"]
+    mean = sum(load.values()) / 8
+    assert max(load.values()) < 1.01 * mean and min(load.values()) > 0.95 * mean
 
 
 def test_odd_rows(spark, odd_docs, no_docs):
