@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 
@@ -57,3 +59,26 @@ def held_out(doc_id: Column) -> Column:
 
 def learnable(doc_id: Column) -> Column:
     return F.coalesce(fold_of(doc_id) != 1, F.lit(False))
+
+
+_caches: dict[str, dict] = {}
+
+
+def give_back() -> None:
+    """Return what is free to the system: Spark's Python workers live on between tasks."""
+    gc.collect()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
+
+
+def worker_cache(owner: str) -> dict:
+    """An operator's tables and automata in a Python worker. One operator's at a time: a worker that goes on to
+    another stage drops those of the last one."""
+    if any(c for n, c in _caches.items() if n != owner):
+        for n, c in _caches.items():
+            if n != owner:
+                c.clear()
+        give_back()
+    return _caches.setdefault(owner, {})

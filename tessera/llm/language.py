@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tessera.llm.common import held_out, learnable, small_batches
+from tessera.llm.common import held_out, learnable, small_batches, worker_cache
 
 LANE = 128
 LETTERS = 62
@@ -148,11 +148,9 @@ class Parser:
         return [self.languages[b] if n else "und" for b, n in zip(best, sizes)], [float(s) if n else 0.0 for s, n in zip(share, sizes)]
 
 
-_parsers: dict[tuple, Parser] = {}
-
-
 def _parser(samples: tuple[tuple[str, str], ...]) -> Parser:
     """One parser in each Python worker, built from the sample."""
+    _parsers = worker_cache("language")
     if samples not in _parsers:
         _parsers.clear()
         by: dict[str, list[str]] = {}

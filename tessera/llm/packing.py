@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
-from tessera.llm.common import keep, partitions, small_batches
+from tessera.llm.common import keep, partitions, small_batches, worker_cache
 
 CAPACITY = 1024
 SLACK = 64
@@ -75,10 +75,9 @@ class Encoder:
         return self.full.encode(text, add_special_tokens=False).ids
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
+    """One encoder in each Python worker."""
+    _encoders = worker_cache("packing")
     if path not in _encoders:
         _encoders[path] = Encoder(path)
     return _encoders[path]

@@ -28,7 +28,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import small_batches
+from tessera.llm.common import small_batches, worker_cache
 
 MARK = "▁"
 UNIT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
@@ -216,11 +216,9 @@ def _utf8(raw: bytes) -> str:
     return "".join(out)
 
 
-_tables: dict[str, PieceTable] = {}
-
-
 def piece_table(path: str) -> PieceTable:
     """One table in each Python worker."""
+    _tables = worker_cache("pieces")
     if path not in _tables:
         _tables[path] = PieceTable(path)
     return _tables[path]

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tessera.llm.common import held_out, keep, learnable, small_batches
+from tessera.llm.common import held_out, keep, learnable, small_batches, worker_cache
 
 # Letters of other alphabets that look like Latin ones, and signs used for letters.
 LOOK_ALIKE = {
@@ -41,7 +41,8 @@ LOOK_ALIKE = {
 }
 SIGNS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "l"}
 _LOOK = str.maketrans(LOOK_ALIKE)
-_SIGN = re.compile(r"(?<=[^\W\d_])[0134578@$!|9]+(?=[^\W\d_])")
+#: Signs count between letters, digits also at a word's ends.
+_SIGN = re.compile(r"(?<=[^\W\d_])[0134578@$!|9]+(?=[^\W\d_])|(?<=[^\W\d_])[01345789]+|[01345789]+(?=[^\W\d_])")
 _SIGNS = str.maketrans(SIGNS)
 _WORD = re.compile(r"[^\W\d_]+")
 _ODD = re.compile("[ɐ-ӿᴀ-᷿ -⁯℀-⅏　-﫿ﬀ-￿\U0001d400-\U0001d7ff\xad]")
@@ -206,11 +207,9 @@ def learn(docs: DataFrame, labels: DataFrame, rows_per_class: int = 2500, most_t
     return Lexicon(weights, tuple(sorted({r["phrase"] for r in spared} | set(given_exceptions))), _fit(x[:, 1:], x[:, 0]))
 
 
-_matchers: dict[Lexicon, Matcher] = {}
-
-
 def matcher(lexicon: Lexicon) -> Matcher:
     """One matcher in each Python worker."""
+    _matchers = worker_cache("toxicity")
     if lexicon not in _matchers:
         _matchers.clear()
         _matchers[lexicon] = Matcher(lexicon)

@@ -18,7 +18,7 @@ def labelled(spark, n=900):
 
 
 def test_folding():
-    assert words_of("IDI0T! ｉｄｉｏｔ іdіоt id​iot 1d10t") == ["idiot", "idiot", "idiot", "idiot", "dio", "t"] or words_of("ID10T x")[0] == "idiot"
+    assert words_of("IDI0T! ｉｄｉｏｔ іdіоt id\u200biot 1d10t id!ot") == ["idiot"] * 6
     assert words_of("ndea$$$ 100 st0p!!") == ["ndea", "stop"]
 
 
