@@ -61,6 +61,20 @@ def learnable(doc_id: Column) -> Column:
     return F.coalesce(fold_of(doc_id) != 1, F.lit(False))
 
 
+RANGE = 1 << 40
+
+
+def place(id_: Column) -> Column:
+    """A row's place in [0, RANGE) by a hash of its id."""
+    return F.pmod(F.xxhash64(id_), F.lit(RANGE))
+
+
+def sample_limits(sizes: dict, rows: int) -> dict:
+    """For groups of these sizes, the places below which about twice as many rows as wanted lie, so that choosing the
+    first ones of a group is work for a bounded number of rows."""
+    return {k: RANGE if n <= 4 * rows else RANGE * 2 * rows // n for k, n in sizes.items()}
+
+
 _caches: dict[str, dict] = {}
 
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tessera.llm.common import held_out, learnable, small_batches, worker_cache
+from tessera.llm.common import held_out, learnable, place, sample_limits, small_batches, worker_cache
 
 LANE = 128
 LETTERS = 62
@@ -163,16 +163,22 @@ def _parser(samples: tuple[tuple[str, str], ...]) -> Parser:
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows_per_language: int = 128, chars_per_row: int = 240, most_languages: int = 200) -> tuple[tuple[str, str], ...]:
     """The bounded sample: (language, excerpt) pairs from rows that may be learned from."""
     order = Window.partitionBy("lang").orderBy("h", "id")
+    lang = F.col(lang_col).cast("string")
+    known = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), lang.alias("lang"), place(F.col(id_col)).alias("h")).where(lang.isNotNull() & learnable(F.col(id_col)))
+    sizes = known.groupBy("lang").count().orderBy("lang").limit(most_languages).collect()
+    if not sizes:
+        return ()
+    # twice the rows wanted, and a margin for short texts
+    limits = sample_limits({r["lang"]: r["count"] for r in sizes}, 2 * rows_per_language)
+    limit = F.try_element_at(F.create_map(*[F.lit(x) for kv in limits.items() for x in kv]), F.col("lang"))
     rows = (
-        docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
-        .where(F.col("lang").isNotNull() & (F.length("text") >= 40) & learnable(F.col("id")))
-        .withColumn("h", F.xxhash64("id"))
+        known.where((F.col("h") < limit) & (F.length("text") >= 40))
         # an excerpt's place in its text follows the hash of the id; only excerpts are moved
         .select("lang", "h", "id", F.substring("text", F.lit(1) + F.pmod(F.col("h"), F.greatest(F.lit(1), F.length("text") - chars_per_row)).cast("int"), F.lit(chars_per_row)).alias("excerpt"))
         .withColumn("r", F.row_number().over(order))
         .where(F.col("r") <= rows_per_language)
     )
-    got = rows.select("lang", "r", "excerpt").orderBy("lang", "r").limit(rows_per_language * most_languages).collect()
+    got = rows.select("lang", "r", "excerpt").orderBy("lang", "r").collect()
     return tuple((r["lang"], r["excerpt"]) for r in got)
 
 

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tessera.llm.common import held_out, keep, learnable, small_batches, worker_cache
+from tessera.llm.common import held_out, keep, learnable, place, sample_limits, small_batches, worker_cache
 
 # Letters of other alphabets that look like Latin ones, and signs used for letters.
 LOOK_ALIKE = {
@@ -146,14 +146,15 @@ def _fit(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
 def learn(docs: DataFrame, labels: DataFrame, rows_per_class: int = 2500, most_terms: int = 3000, given_exceptions: tuple[str, ...] = (), id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Lexicon:
     """A lexicon from the bounded sample; what reaches the driver is bounded by the parameters."""
     by_hash = Window.partitionBy("y").orderBy("h", "id")
-    rows = (
+    known = (
         labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y"))
         .where(F.col("y").isNotNull() & learnable(F.col("id")))
         .groupBy("id").agg(F.max("y").alias("y"))
-        .withColumn("h", F.xxhash64("id"))
-        .withColumn("r", F.row_number().over(by_hash)).where(F.col("r") <= rows_per_class)
-        .select("id", "y", F.col("h").bitwiseAND(1).cast("int").alias("half"))
+        .withColumn("h", place(F.col("id")))
     )
+    limits = sample_limits({r["y"]: r["count"] for r in known.where("y in (0, 1)").groupBy("y").count().collect()}, rows_per_class)
+    few = F.when(F.col("y") == 1, F.lit(limits.get(1, 0))).when(F.col("y") == 0, F.lit(limits.get(0, 0)))
+    rows = known.where(F.col("h") < few).withColumn("r", F.row_number().over(by_hash)).where(F.col("r") <= rows_per_class).select("id", "y", F.col("h").bitwiseAND(1).cast("int").alias("half"))
     # at most 2 * rows_per_class ids
     sample = keep(small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.col("text").isNotNull()).join(F.broadcast(rows), "id").select("y", "half", "text"), "toxicity-sample")
     sizes = {(r["half"], r["y"]): r["n"] for r in sample.groupBy("half", "y").agg(F.count(F.lit(1)).alias("n")).collect()}
