@@ -18,6 +18,7 @@ columns other than id and text are ignored.
 
 from __future__ import annotations
 
+import json
 from bisect import bisect_right
 from itertools import accumulate
 
@@ -119,7 +120,9 @@ def in_order(narrow: DataFrame, shards: int) -> DataFrame:
         places.append((r["key"], -(1 << 63) + lane * width + turn * (width // (32 * SHARE))))
     if not places:
         return narrow
-    moved = narrow.sparkSession.createDataFrame(places, "key long, place long")
+    # built from a literal, in the JVM
+    listed = F.from_json(F.lit(json.dumps([{"key": k, "place": p} for k, p in places])), "array<struct<key:bigint,place:bigint>>")
+    moved = narrow.sparkSession.range(1).select(F.inline(listed))
     return narrow.join(F.broadcast(moved), "key", "left").withColumn("key", F.coalesce("place", "key")).drop("place")
 
 
