@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from tessera.functions.quality import QualityRules, rejection_reason
 from tessera.functions.text import estimate_tokens, exact_fingerprint, normalize_text
+from tessera.operators.sections import let
 
 
 def assemble_documents(records: DataFrame, keys: list[str], text_col: str = "text", ord_col: str = "ord", separator: str = "\n\n") -> DataFrame:
@@ -36,7 +37,9 @@ def mark_duplicates(docs: DataFrame, fingerprint_col: str, ord_col: str, keys: l
 
 def quality_checked(records: DataFrame, rules: QualityRules | None = None) -> DataFrame:
     """Records with their normalised text and the reason for which they are rejected, if any."""
-    return records.withColumn("text", normalize_text(F.col("text"))).withColumn("reason", rejection_reason(F.col("text"), F.col("license"), rules))
+    # bound once: rules refer to the text many times, and a filter on the reason would compute it anew for each
+    both = let(normalize_text(F.col("text")), lambda t: F.struct(t.alias("text"), rejection_reason(t, F.col("license"), rules).alias("reason")))
+    return records.withColumn("_checked", both).withColumns({"text": F.col("_checked.text"), "reason": F.col("_checked.reason")}).drop("_checked")
 
 
 def contiguity_violations(records: DataFrame, keys: list[str], block: list[str]) -> DataFrame:
