@@ -91,7 +91,10 @@ GRANT = "^(?:(?:this|the) [a-z]+ is |it is |code is )?(?:dual )?(?:licensed|lice
 SPDX = "^(?:.*[^a-z])?spdx license identifier (.+)$"
 #: The tag's colon does not end a sentence.
 SPDX_TAG = "(?i)(spdx-license-identifier):"
-HINT = "(?i)licen[sc]e|rights reserved|public domain|redistribut|permission|free software|warrant|under the|under cc|obtain a copy"
+#: Words without which no rule can match: every grant has 'under', every other known sentence one of these. Single words, as a sentence may have any white space between its own.
+HINT = "(?i)licen[sc]e|reserved|domain|redistribut|permission|software|warrant|under"
+#: The hint of the SQL, narrower than the rules: it does not read a text whose only hint is, for example, 'under MIT'.
+SQL_HINT = "(?i)licen[sc]e|rights reserved|public domain|redistribut|permission|free software|warrant|under the|under cc|obtain a copy"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -180,7 +183,7 @@ def oracle() -> str:
     cats = as_map({k: category(k) for k, _ in RULES})
     return f"""
 with m as (select {known} as k, {named} as n),
-t as (select doc_id, case when regexp_matches(coalesce(text, ''), '{HINT}') then text else '' end as text from documents),
+t as (select doc_id, case when regexp_matches(coalesce(text, ''), '{SQL_HINT}') then text else '' end as text from documents),
 i as (select doc_id, case when text = '' then []::varchar[] else {read('text')} end as lines,
              case when text = '' then []::varchar[] else {read(f'regexp_replace(regexp_replace(text, {single}), {single})')} end as unwrapped from t, m),
 j as (select doc_id, case when len(unwrapped) > len(lines) then unwrapped else lines end as ids from i),

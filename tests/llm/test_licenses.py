@@ -1,4 +1,6 @@
-from tessera.llm.licenses import RULES, SENTENCES, scan
+import re
+
+from tessera.llm.licenses import HINT, NAMES, RULES, SENTENCES, scan
 
 CASES = {
     "Some text.\nReleased under the MIT License.": ("MIT", "permissive"),
@@ -31,3 +33,17 @@ def test_odd_rows(spark, odd_docs, no_docs):
     got = scan(odd_docs).collect()
     assert len(got) == odd_docs.count() and {r["licence"] for r in got} == {"none"}
     assert scan(no_docs).count() == 0
+
+
+GRANTS = {"Released under MIT.": "MIT", "Distributed under GPLv2.": "GPL-2.0", "Available under Apache 2.0.": "Apache-2.0", "Published under MPL 2.0.": "MPL-2.0", "Code is released under GPL v3.": "GPL-3.0", "x\n\nAll rights\nreserved.": "proprietary", "This program is free  software: x": "none"}
+
+
+def test_grants_are_found_without_other_hints(spark):
+    got = {r["doc_id"]: r for r in scan(spark.createDataFrame(list(enumerate(GRANTS)), "doc_id long, text string")).collect()}
+    assert [got[i]["licence"] for i in range(len(GRANTS))] == list(GRANTS.values())
+    assert got[6]["sentence_ids"] == "gpl_free"
+
+
+def test_hint_lets_all_rules_pass():
+    known = [*SENTENCES.values(), *(f"Released under {x}" for xs in NAMES.values() for x in xs), "SPDX License Identifier MIT"]
+    assert all(re.search(HINT, re.sub(r"\s", "\n\t", x)) for x in known)
