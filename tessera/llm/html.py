@@ -6,6 +6,10 @@ fused; the paths over a threshold from the spread of the fused values are conten
 holds most of the content is the container: its other blocks (titles, short paragraphs, list items) come along
 unless they are mostly links. Elements that are furniture by their tag, role or class take no part.
 
+A marked element (article, main) counts if it agrees with the paths: where marked blocks hold more than half of the
+content chosen on the whole page, the method is applied to them alone, and the container is the deepest marked
+element with most of their content, if one has it. Otherwise (teaser cards) the marks are ignored.
+
 Defined results: null and empty pages, and pages without text, give an empty string; an unfinished tag
 or comment at the end is dropped; unclosed elements end where HTML's block structure ends them;
 repeated rows give repeated results; columns other than page_id, url and html are ignored.
@@ -44,6 +48,7 @@ WORDS = frozenset(
     "share sharing social related recommended comment comments disqus reply replies respond widget toolbar pagination pager skip copyright rail trending alert "
     "form search feedback".split()
 )
+MARKS = frozenset(("article", "main"))
 REMARKS = frozenset("comment comments disqus reply replies respond".split())
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 SCOPES = frozenset("ul ol dl table body html article main section div nav aside footer header form select".split())
@@ -59,6 +64,7 @@ class Block:
     form: bool
     inside: bool
     heading: bool
+    marks: frozenset[int]
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -98,7 +104,7 @@ def blocks(html: str) -> list[Block]:
             if text:
                 tag, _, off, form, inside = stack[-1]
                 path = "/".join(s[0] for s in stack[1:])
-                out.append(Block(path, text, state["links"], tuple(s[1] for s in stack), off, form, inside, tag in ("h1", "h2", "h3", "h4", "h5", "h6")))
+                out.append(Block(path, text, state["links"], tuple(s[1] for s in stack), off, form, inside, tag in ("h1", "h2", "h3", "h4", "h5", "h6"), frozenset(s[1] for s in stack if s[0] in MARKS)))
             parts.clear()
         state["links"] = 0
 
@@ -165,7 +171,7 @@ def blocks(html: str) -> list[Block]:
             state["n"] += 1
             off = off or _furniture(tag, raw, inside)
             if not raw.rstrip().endswith("/"):
-                stack.append((tag, state["n"], off, form or tag == "form", inside or tag in ("article", "main")))
+                stack.append((tag, state["n"], off, form or tag == "form", inside or tag in MARKS))
     flush()
     return out
 
@@ -205,34 +211,33 @@ def extract(html: str) -> str:
     if sum(len(b.text) for b in found if b.form and not b.off) <= 0.6 * whole:
         found = [b for b in found if not b.form]  # unless a form wraps the page
     nodes = [b for b in found if not b.off]
-    marked = [b for b in nodes if b.inside]
-    if marked:  # the page names its article
-        nodes = marked
     if not nodes:
         return ""
     paths = _content(nodes)
     chosen = [b for b in nodes if b.path in paths]
+    # the page names its article, and its paths agree
+    trusted = 2 * sum(len(b.text) for b in chosen if b.inside) > sum(len(b.text) for b in chosen)
+    if trusted and not all(b.inside for b in nodes):
+        nodes = [b for b in nodes if b.inside]
+        paths = _content(nodes)
+        chosen = [b for b in nodes if b.path in paths]
     total = sum(len(b.text) for b in chosen)
     mass: dict[int, int] = defaultdict(int)
     for b in chosen:
         for k in b.around:
             mass[k] += len(b.text)
     # numbers grow with depth along a path, so the largest that holds most of the content is the deepest
-    container = max(k for k, v in mass.items() if v >= 0.8 * total)
-    if marked:  # all of it stands in one article, or the article's blocks are spread: keep to the outermost that holds them
-        container = min((k for k in mass if mass[k] >= total), key=lambda k: (-_inner(nodes, k), -k))
+    holds = {k for k, v in mass.items() if v >= 0.8 * total}
+    marks = {k for b in chosen for k in b.marks if k in holds} if trusted else set()
+    container = max(marks or holds)
     out = []
     for b in nodes:
         linked = b.links >= 0.8 * len(b.text) and not b.heading
-        if b.path in paths and not linked or container in b.around and not linked:
+        if (b.path in paths or container in b.around) and not linked:
             out.append(b.text)
     return "\n".join(out)
 
 
-def _inner(nodes: list[Block], k: int) -> int:
-    return sum(1 for b in nodes if k in b.around)
-
-
 def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """page_id, url, text, n_chars of every whole page."""
 

@@ -42,3 +42,16 @@ def test_rows(spark):
     assert len(got) == 5 and by[1]["text"] == CASES[0][1] and by[1]["n_chars"] == len(CASES[0][1])
     assert by[None]["text"] == by[3]["text"] == "" and by[4]["n_chars"] == 499_999
     assert extract_pages(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+@pytest.mark.parametrize(
+    "html,wanted",
+    [
+        # teaser cards are marked, the text is not
+        (f"<body><div id=text><p>{BODY}</p><p>{BODY}</p><p>{BODY}</p></div><div>{'<article><h3>Card</h3><span>More here</span></article>' * 3}</div></body>", "\n".join([BODY.strip()] * 3)),
+        # the article within main has the content; what else main holds is no part of it
+        (f"<main><article><h1>T</h1><p>{BODY}</p><p>{BODY}</p></article><div class=teasers><div>Read on</div><div>And this</div></div></main>", f"T\n{BODY.strip()}\n{BODY.strip()}"),
+    ],
+)
+def test_paths_decide_on_marked_pages(html, wanted):
+    assert extract(html) == wanted
