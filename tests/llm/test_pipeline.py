@@ -33,3 +33,11 @@ def test_odd_rows(spark, odd_docs, no_docs, tmp_path):
             stage(spark, docs, str(tmp_path)).write.parquet(str(tmp_path / f"{name}{k}"))
             docs = spark.read.parquet(str(tmp_path / f"{name}{k}"))
         assert docs.count() == 0 if n == 0 else docs.count() > 0
+
+
+def test_rows_of_one_id_are_documents_of_their_own(spark):
+    x, y, z, v = (" ".join(f"{k}{i}" for i in range(60)) for k in "xyzv")
+    rows = [(3, x), (3, y), (5, y), (7, z), (7, v), (7, None), (8, x), (8, "another text, unlike all of the rest"), (9, "twice"), (9, "twice"), (None, x), (None, x)]
+    got = pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
+    wanted = [r for r in rows if r not in [(5, y), (8, x), (9, "twice")]] + [(9, "twice")]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, wanted))
