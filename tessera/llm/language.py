@@ -9,8 +9,8 @@ of a batch of whole texts take one symbol at a time side by side. Every chunk st
 own, in all languages alike, so a text's phrase count is the sum over its chunks and no character
 is left out.
 
-Learning is bounded: `rows_per_language` labelled rows for each language, chosen by a hash of the id,
-and of each an excerpt of `chars_per_row` characters; the languages are those among learnable rows,
+Learning is bounded: `rows_per_language` labelled rows with a letter for each language, chosen by a hash of the id,
+short ones only after all others, and of each an excerpt of `chars_per_row` characters; the languages are those among learnable rows,
 at most `most_languages`.
 
 Defined results: a null or empty text, or one without a letter, gets 'und' and score 0; equal phrase
@@ -35,6 +35,9 @@ from tessera.llm.common import held_out, learnable, place, sample_limits, small_
 LANE = 128
 LETTERS = 62
 SHARPNESS = 0.5
+#: Texts of fewer characters are learned from only where a language has too few others.
+LONG = 40
+LETTER = r"\p{L}"
 #: Symbols: 0 a gap (anything but letters), 1 a letter outside the table, then the table's letters; the last is padding.
 GAP, OTHER = 0, 1
 
@@ -162,19 +165,24 @@ def _parser(samples: tuple[tuple[str, str], ...]) -> Parser:
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows_per_language: int = 128, chars_per_row: int = 240, most_languages: int = 200) -> tuple[tuple[str, str], ...]:
     """The bounded sample: (language, excerpt) pairs from rows that may be learned from."""
-    order = Window.partitionBy("lang").orderBy("h", "id")
+    order = Window.partitionBy("lang").orderBy("short", "h", "id")
     lang = F.col(lang_col).cast("string")
-    known = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), lang.alias("lang"), place(F.col(id_col)).alias("h")).where(lang.isNotNull() & learnable(F.col(id_col)))
-    sizes = known.groupBy("lang").count().orderBy("lang").limit(most_languages).collect()
+    known = (
+        docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), lang.alias("lang"), place(F.col(id_col)).alias("h"))
+        .where(lang.isNotNull() & learnable(F.col(id_col)) & F.col("text").rlike(LETTER))
+        .withColumn("short", F.length("text") < LONG)
+    )
+    sizes = known.groupBy("lang").agg(F.count_if(~F.col("short")).alias("long"), F.count_if(F.col("short")).alias("short")).orderBy("lang").limit(most_languages).collect()
     if not sizes:
         return ()
-    # twice the rows wanted, and a margin for short texts
-    limits = sample_limits({r["lang"]: r["count"] for r in sizes}, 2 * rows_per_language)
-    limit = F.try_element_at(F.create_map(*[F.lit(x) for kv in limits.items() for x in kv]), F.col("lang"))
+    # twice the rows wanted; short ones only where there are too few others
+    few = {r["lang"]: r["short"] for r in sizes if r["long"] < rows_per_language}
+    limits = {False: sample_limits({r["lang"]: r["long"] for r in sizes}, 2 * rows_per_language), True: {r["lang"]: 0 for r in sizes} | sample_limits(few, 2 * rows_per_language)}
+    below = lambda short: F.try_element_at(F.create_map(*[x for k, v in limits[short].items() for x in (F.lit(k), F.lit(v).cast("long"))]), F.col("lang"))
     rows = (
-        known.where((F.col("h") < limit) & (F.length("text") >= 40))
+        known.where(F.col("h") < F.when(F.col("short"), below(True)).otherwise(below(False)))
         # an excerpt's place in its text follows the hash of the id; only excerpts are moved
-        .select("lang", "h", "id", F.substring("text", F.lit(1) + F.pmod(F.col("h"), F.greatest(F.lit(1), F.length("text") - chars_per_row)).cast("int"), F.lit(chars_per_row)).alias("excerpt"))
+        .select("lang", "short", "h", "id", F.substring("text", F.lit(1) + F.pmod(F.col("h"), F.greatest(F.lit(1), F.length("text") - chars_per_row)).cast("int"), F.lit(chars_per_row)).alias("excerpt"))
         .withColumn("r", F.row_number().over(order))
         .where(F.col("r") <= rows_per_language)
     )

@@ -1,3 +1,5 @@
+import zlib
+
 from tessera.llm.language import LANE, Parser, automaton, identify, language_query, learn
 
 TEXTS = {"en": "the quick brown fox and the lazy dog are with that which was there before ", "de": "der schnelle braune fuchs und der faule hund sind mit dem was vorher dort gewesen ist "}
@@ -61,3 +63,12 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert got["one"]["lang_pred"] in ("en", "de")
     assert language_query(odd_docs).count() == odd_docs.count()
     assert language_query(no_docs).count() == 0 and {r["lang_pred"] for r in identify(odd_docs, ()).collect()} == {"und"}
+
+
+def test_short_texts_are_learned_where_there_are_too_few_others(spark):
+    short = [(i, TEXTS[("en", "de")[i % 2]][i % 20 :][:30], ("en", "de")[i % 2]) for i in range(3000)]
+    long = [(i, TEXTS["de"] * 2, "de") for i in range(3001, 3061, 2)]
+    samples = learn(spark.createDataFrame([*short, *long, (4000, "12 34", "fr")], "doc_id long, text string, lang string"))
+    assert {x for x, _ in samples} == {"en", "de"}
+    assert sum(x == "en" for x, _ in samples) == sum(x == "de" for x, _ in samples) == 128
+    assert sum(len(t) >= 40 for x, t in samples if x == "de") == sum(zlib.crc32(str(i).encode()) % 3 != 1 for i, _, _ in long)

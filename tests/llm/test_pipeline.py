@@ -41,3 +41,9 @@ def test_rows_of_one_id_are_documents_of_their_own(spark):
     got = pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
     wanted = [r for r in rows if r not in [(5, y), (8, x), (9, "twice")]] + [(9, "twice")]
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, wanted))
+
+
+def test_texts_stay_where_no_language_can_be_learned(spark):
+    rows = [(1, "a clean text, long enough to be learned from if it had a label", None), (2, "short", None), (3, "12 34 --", None), (4, None, None)]
+    got = pipeline.keep_languages(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string"), "").collect()
+    assert sorted(r["doc_id"] for r in got) == [1, 2]
