@@ -4,14 +4,15 @@ For each language a suffix automaton is built from a bounded sample of labelled
 parsed against each automaton from left to right into longest matches; the language that needs the
 fewest phrases for a character wins.
 
-The automaton is used as a dense table (state x symbol), and texts are parsed in lanes: all chunks
+Every letter of the sample is a symbol of its own, so scripts with thousands of letters are told apart; an automaton
+is a sparse table (a double array) that grows with its transitions only. Texts are parsed in lanes: all chunks
 of a batch of whole texts take one symbol at a time side by side. Every chunk starts a parse of its
 own, in all languages alike, so a text's phrase count is the sum over its chunks and no character
 is left out.
 
 Learning is bounded: `rows_per_language` labelled rows with a letter for each language, chosen by a hash of the id,
-short ones only after all others, and of each an excerpt of `chars_per_row` characters; the languages are those among learnable rows,
-at most `most_languages`.
+short ones only after all others, and of each an excerpt of `chars_per_row` characters; the languages are all those among learnable
+rows. Work grows with their number.
 
 Defined results: a null or empty text, or one without a letter, gets 'und' and score 0; equal phrase
 counts go to the language that comes first in alphabetical order; without learnable rows every
@@ -21,7 +22,6 @@ of exp(-phrases * SHARPNESS) over the languages, 1 / languages at least.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,12 +33,11 @@ from pyspark.sql.window import Window
 from tessera.llm.common import held_out, learnable, place, sample_limits, small_batches, worker_cache
 
 LANE = 128
-LETTERS = 62
 SHARPNESS = 0.5
 #: Texts of fewer characters are learned from only where a language has too few others.
 LONG = 40
 LETTER = r"\p{L}"
-#: Symbols: 0 a gap (anything but letters), 1 a letter outside the table, then the table's letters; the last is padding.
+#: Symbols: 0 a gap (anything but letters), 1 a letter that no sample has, then the samples' letters; the last is padding.
 GAP, OTHER = 0, 1
 
 
@@ -46,14 +45,17 @@ class Alphabet:
     """Maps code points to symbols, from the letters of the learning texts."""
 
     def __init__(self, texts: list[str]) -> None:
-        seen = Counter(c for t in texts for c in t.lower() if c.isalpha())
-        letters = sorted(c for c, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:LETTERS])
+        seen = {c for t in texts for c in t if c.isalpha()}
+        lower = {c: c.lower() if len(c.lower()) == 1 else c for c in seen}
+        letters = sorted(set(lower.values()))
         self.size = len(letters) + 2
         self.table = np.zeros(0x110000, np.int32)
         self.table[[i for i in range(0x110000) if chr(i).isalpha()]] = OTHER
         for k, c in enumerate(letters):
             for x in {c, c.upper()} if len(c.upper()) == 1 else {c}:
                 self.table[ord(x)] = k + 2
+        for c, low in lower.items():
+            self.table[ord(c)] = self.table[ord(low)]
 
     def codes(self, text: str) -> np.ndarray:
         """The text's symbols, runs of gaps as one, without gaps at the ends."""
@@ -63,8 +65,58 @@ class Alphabet:
         return got[:-1] if len(got) and got[-1] == GAP else got
 
 
-def automaton(codes: list[int], size: int) -> np.ndarray:
-    """A suffix automaton's table: the next state, or -(state after a new start) - 1 where a phrase ends; the last column is padding."""
+class Automaton:
+    """A suffix automaton as a double array: state + symbol is the place of a transition, which holds its owner and the next
+    state. A symbol without a transition ends a phrase; start has the state after a new start."""
+
+    def __init__(self, nxt: list[dict[int, int]], size: int) -> None:
+        counts = np.array([len(x) for x in nxt])
+        first = np.cumsum(counts) - counts
+        symbols = np.fromiter((c for x in nxt for c in x), np.int64, counts.sum())
+        targets = np.fromiter((t for x in nxt for t in x.values()), np.int64, counts.sum())
+        places = 1 << int(4 * max(len(nxt), len(targets))).bit_length()
+        used, taken = np.zeros(places + size + 1, bool), np.zeros(places, bool)
+        at = np.zeros(len(nxt), np.int64)  # a state's number in the array; the root's is 0
+        used[symbols[: counts[0]]] = taken[0] = True
+        random = np.random.default_rng(0)
+        # the states with most transitions come first; all states of a size are placed side by side until each fits
+        for n in np.unique(counts[1:])[::-1]:
+            left = 1 + np.flatnonzero(counts[1:] == n)
+            while len(left):
+                base = random.integers(1, places, len(left))
+                where = base[:, None] + symbols[first[left, None] + np.arange(n)]
+                fits = ~taken[base] & ~used[where].any(axis=1)
+                fits &= np.isin(np.arange(len(base)), np.unique(base, return_index=True)[1])
+                # of those that want the same place the first one gets it
+                rows = np.flatnonzero(fits)
+                owner = np.full(len(used), len(base))
+                np.minimum.at(owner, where[rows].ravel(), np.repeat(rows, n))
+                rows = rows[(owner[where[rows]] == rows[:, None]).all(axis=1)]
+                at[left[rows]] = base[rows]
+                taken[base[rows]] = True
+                used[where[rows].ravel()] = True
+                left = np.delete(left, rows)
+        where = np.repeat(at, counts) + symbols
+        self.owner, self.next = np.full(len(used), -1, np.int32), np.zeros(len(used), np.int32)
+        self.owner[where], self.next[where] = np.repeat(at, counts), at[targets]
+        self.start = np.zeros(size + 1, np.int32)
+        for c, t in nxt[0].items():
+            self.start[c] = at[t]
+
+    def step(self, state: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The next states, and where a phrase went on."""
+        where = state + symbol
+        on = self.owner[where] == state
+        return np.where(on, self.next[where], self.start[symbol]), on
+
+    def __getitem__(self, at: tuple[int, int]) -> int:
+        """The next state, or -(state after a new start) - 1 where a phrase ends."""
+        where = at[0] + at[1]
+        return int(self.next[where]) if self.owner[where] == at[0] else -int(self.start[at[1]]) - 1
+
+
+def automaton(codes: list[int], size: int) -> Automaton:
+    """The suffix automaton of a sample."""
     nxt: list[dict[int, int]] = [{}]
     link, length, last = [-1], [0], 0
     for c in codes:
@@ -90,31 +142,20 @@ def automaton(codes: list[int], size: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[cur] = clone
         last = cur
-    start = np.array([nxt[0].get(c, 0) for c in range(size)], np.int32)
-    table = np.empty((len(nxt), size + 1), np.int32)
-    table[:, :size] = -start - 1
-    table[:, size] = np.arange(len(nxt))
-    for s, row in enumerate(nxt):
-        for c, to in row.items():
-            table[s, c] = to
-    return table
+    return Automaton(nxt, size)
 
 
 class Parser:
-    """The automata of all languages, stacked in one table."""
+    """The automata of all languages."""
 
     def __init__(self, samples: dict[str, list[str]]) -> None:
         self.languages = sorted(samples)
         self.alphabet = Alphabet([t for x in samples.values() for t in x])
-        tables = []
+        self.automata = []
         for lang in self.languages:
             parts = [c for t in samples[lang] if len(c := self.alphabet.codes(t))]
             codes = [x for c in parts for x in (*c.tolist(), GAP)]
-            tables.append(automaton(codes, self.alphabet.size))
-        self.width = self.alphabet.size + 1
-        self.roots = (np.cumsum([len(t) for t in tables]) - [len(t) for t in tables]).astype(np.int32)
-        # negative entries count down by the root too: ~value is the global state after a new start
-        self.table = np.concatenate([np.where(t < 0, t - r, t + r) for t, r in zip(tables, self.roots)]).astype(np.int32).ravel() if tables else np.zeros(0, np.int32)
+            self.automata.append(automaton(codes, self.alphabet.size))
 
     def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(text x language) phrase counts and the number of symbols of each text."""
@@ -125,20 +166,20 @@ class Parser:
         total = int(lanes.sum())
         if not total:
             return counts, sizes
-        grid = np.full(total * LANE, self.width - 1, np.int32)
+        grid = np.full(total * LANE, self.alphabet.size, np.int32)
         first = np.cumsum(lanes) - lanes
         for c, f in zip(codes, first):
             grid[f * LANE : f * LANE + len(c)] = c
         grid = np.ascontiguousarray(grid.reshape(total, LANE).T)
         owner = np.repeat(np.arange(len(texts)), lanes)
-        for k, root in enumerate(self.roots):
-            state = np.full(total, root, np.int32)
-            ended = np.ones(total, np.int32)
+        # padding has no transitions and stands at the end: each one would count as a phrase
+        padding = (grid == self.alphabet.size).sum(axis=0)
+        for k, known in enumerate(self.automata):
+            state = np.zeros(total, np.int32)
+            ended = 1 + LANE - padding
             for column in grid:
-                value = self.table[state * self.width + column]
-                mask = value >> 31
-                ended -= mask
-                state = value ^ mask
+                state, on = known.step(state, column)
+                ended -= on
             counts[:, k] = np.bincount(owner, weights=ended, minlength=len(texts)).astype(np.int64)
         return counts, sizes
 
@@ -163,7 +204,7 @@ def _parser(samples: tuple[tuple[str, str], ...]) -> Parser:
     return _parsers[samples]
 
 
-def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows_per_language: int = 128, chars_per_row: int = 240, most_languages: int = 200) -> tuple[tuple[str, str], ...]:
+def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows_per_language: int = 128, chars_per_row: int = 240) -> tuple[tuple[str, str], ...]:
     """The bounded sample: (language, excerpt) pairs from rows that may be learned from."""
     order = Window.partitionBy("lang").orderBy("short", "h", "id")
     lang = F.col(lang_col).cast("string")
@@ -172,7 +213,7 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         .where(lang.isNotNull() & learnable(F.col(id_col)) & F.col("text").rlike(LETTER))
         .withColumn("short", F.length("text") < LONG)
     )
-    sizes = known.groupBy("lang").agg(F.count_if(~F.col("short")).alias("long"), F.count_if(F.col("short")).alias("short")).orderBy("lang").limit(most_languages).collect()
+    sizes = known.groupBy("lang").agg(F.count_if(~F.col("short")).alias("long"), F.count_if(F.col("short")).alias("short")).orderBy("lang").collect()
     if not sizes:
         return ()
     # twice the rows wanted; short ones only where there are too few others

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 from tessera.llm.language import LANE, Parser, automaton, identify, language_query, learn
@@ -72,3 +73,19 @@ def test_short_texts_are_learned_where_there_are_too_few_others(spark):
     assert {x for x, _ in samples} == {"en", "de"}
     assert sum(x == "en" for x, _ in samples) == sum(x == "de" for x, _ in samples) == 128
     assert sum(len(t) >= 40 for x, t in samples if x == "de") == sum(zlib.crc32(str(i).encode()) % 3 != 1 for i, _, _ in long)
+
+
+def test_every_letter_is_its_own_symbol():
+    scripts = {"ar": 0x627, "el": 0x3B1, "en": 0x61, "ja": 0x6F22, "ko": 0xAC00, "ru": 0x430, "th": 0xE01, "zh": 0x4E00}
+    sizes = {"ja": 1500, "ko": 900, "zh": 2500}
+    # many languages share a script of few letters; others have thousands of letters
+    letters = {k: [c for i in range(sizes.get(k, 24)) if (c := chr(at + i)).isalpha()] for k, at in scripts.items()}
+    r = random.Random(1)
+    text = {k: ["".join(r.choice(x) for _ in range(200)) for _ in range(40)] for k, x in letters.items()}
+    p = Parser({k: v[:30] for k, v in text.items()})
+    assert all(set(p.predict(v[30:])[0]) == {k} for k, v in text.items())
+
+
+def test_all_languages_are_learned(spark):
+    rows = [(i, f"language number {i % 210} has a text of its own with enough letters", f"l{i % 210:03}") for i in range(2100)]
+    assert len({x for x, _ in learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))}) == 210
