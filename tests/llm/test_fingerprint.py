@@ -1,5 +1,6 @@
 import hashlib
 
+from tessera.llm import fingerprint
 from tessera.llm.fingerprint import fingerprints, with_next
 
 from tests.llm.conftest import words
@@ -69,3 +70,12 @@ def test_next_rows_cross_ranges(spark):
     for (i, t), nxt in got.items():
         later = [x for x in ids if x > i]
         assert nxt in by_id[i] | by_id[later[0] if later else ids[0]]
+
+
+def test_exact_where_no_sketch_can_be_emptied(spark, monkeypatch):
+    monkeypatch.setattr(fingerprint, "RETRIES", 0)  # the first sketch is the last one, and too small for these texts
+    rows = [(i, " ".join(words(i // 2, 6000, 5000))) for i in range(4)] + [(9, " ".join(words(9, 6000, 5000)[:4000] + words(1, 2000)))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = fingerprints(df).collect()
+    check(rows, got)
+    assert all(r["near_edited"] > 0 for r in got)
