@@ -4,7 +4,7 @@ A page's text blocks are grouped by their root-to-leaf tag path. Each path has t
 and the mean punctuation of its blocks; both series are smoothed over the blocks in page order and
 fused; the paths over a threshold from the spread of the fused values are content. The element that
 holds most of the content is the container: its other blocks (titles, short paragraphs, list items) come along
-unless they are mostly links. Elements that are furniture by their tag, role or class take no part.
+unless they and their path are mostly links; linked paragraphs of a marked article stay. Elements that are furniture by their tag, role or class take no part.
 
 A marked element (article, main) counts if it agrees with the paths: where marked blocks hold more than half of the
 content chosen on the whole page, the method is applied to them alone, and the container is the deepest marked
@@ -230,9 +230,16 @@ def extract(html: str) -> str:
     holds = {k for k, v in mass.items() if v >= 0.8 * total}
     marks = {k for b in chosen for k in b.marks if k in holds} if trusted else set()
     container = max(marks or holds)
+    # blocks that are mostly links are dropped with their path; a paragraph of the marked article stays
+    size, links = defaultdict(int), defaultdict(int)
+    for b in nodes:
+        size[b.path] += len(b.text)
+        links[b.path] += min(b.links, len(b.text))
     out = []
     for b in nodes:
-        linked = b.links >= 0.8 * len(b.text) and not b.heading
+        linked = b.links >= 0.8 * len(b.text) and links[b.path] >= 0.8 * size[b.path] and not b.heading
+        if linked and container in marks and container in b.around and b.path.endswith("/p"):
+            linked = False
         if (b.path in paths or container in b.around) and not linked:
             out.append(b.text)
     return "\n".join(out)

@@ -55,3 +55,15 @@ def test_rows(spark):
 )
 def test_paths_decide_on_marked_pages(html, wanted):
     assert extract(html) == wanted
+
+
+@pytest.mark.parametrize(
+    "html,wanted",
+    [
+        ("<article><p><a href=x>A whole sentence that links.</a></p></article>", "A whole sentence that links."),
+        (f"<div><p>{BODY}</p><p><a href=x>A whole sentence that links.</a></p><p>{BODY}</p></div>", f"{BODY.strip()}\nA whole sentence that links.\n{BODY.strip()}"),
+        (f"<article><p>{BODY}</p><ul><li><a href=x>Teaser</a><li><a href=y>Another</a></ul></article>", BODY.strip()),
+    ],
+)
+def test_linked_paragraphs_stay_and_link_lists_go(html, wanted):
+    assert extract(html) == wanted
