@@ -45,16 +45,18 @@ _LOOK = str.maketrans(LOOK_ALIKE)
 _SIGN = re.compile(r"(?<=[^\W\d_])[0134578@$!|9]+(?=[^\W\d_])|(?<=[^\W\d_])[01345789]+|[01345789]+(?=[^\W\d_])")
 _SIGNS = str.maketrans(SIGNS)
 _WORD = re.compile(r"[^\W\d_]+")
-_ODD = re.compile("[ɐ-ӿᴀ-᷿ -⁯℀-⅏　-﫿ﬀ-￿\U0001d400-\U0001d7ff\xad]")
 HIDDEN = dict.fromkeys([0xAD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF])
+#: translate() is slow, and few texts need it.
+_LOOKS, _HIDES = (re.compile("[" + "".join(map(re.escape, x)) + "]") for x in (LOOK_ALIKE, map(chr, HIDDEN)))
 PREFIX = range(4, 9)
 
 
 def words_of(text: str) -> list[str]:
     """The folded words of a text."""
     text = text.lower()
-    if _ODD.search(text):
-        text = unicodedata.normalize("NFKC", text.translate(HIDDEN)).lower().translate(_LOOK)
+    if not text.isascii():
+        text = unicodedata.normalize("NFKC", text.translate(HIDDEN) if _HIDES.search(text) else text).lower()
+        text = text.translate(_LOOK) if _LOOKS.search(text) else text
     return _WORD.findall(_SIGN.sub(lambda m: m[0].translate(_SIGNS), text))
 
 

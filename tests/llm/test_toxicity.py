@@ -51,3 +51,9 @@ def test_odd_rows(spark, odd_docs, no_docs):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert {r["score"] for r in toxicity_query(odd_docs, none).collect()} == {0.0}
     assert toxicity_query(no_docs, none).count() == 0
+
+
+def test_every_disguise_is_folded_alone():
+    for odd in ("\u0131d\u0131ot", "id\u2170ot", "\u24d8\u24d3\u24d8\u24de\u24e3", "\u2071diot", "id\u00adiot", "i\u0501iot", "\uff49diot", "id\u200biot"):
+        assert words_of(odd) == words_of(odd + " \u2019")[:1] == ["idiot"]
+    assert words_of("foo\u0142") == ["fool"]
