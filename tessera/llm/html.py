@@ -4,13 +4,15 @@ A page's text blocks are grouped by their root-to-leaf tag path. Each path has t
 and the mean punctuation of its blocks; both series are smoothed over the blocks in page order and
 fused; the paths over a threshold from the spread of the fused values are content. The element that
 holds most of the content is the container: its other blocks (titles, short paragraphs, list items) come along
-unless they and their path are mostly links; linked paragraphs of a marked article stay. Elements that are furniture by their tag, role or class take no part.
+unless they are furniture, or stand in lists or boxes that are mostly links.
 
-A marked element (article, main) counts if it agrees with the paths: where marked blocks hold more than half of the
-content chosen on the whole page, the method is applied to them alone, and the container is the deepest marked
-element with most of their content, if one has it. Otherwise (teaser cards) the marks are ignored.
+Marks are part of a path and weigh its value: an element that is furniture by its tag, role or class divides it by a thousand,
+an article or main element doubles it. So a page's own marks help, but marked teaser cards do not beat the text. Class
+words count by the last part of a name that says anything (site-footer, not share-holders). Words that articles
+use too (related, share, alert) and forms count only where the element's own text reads like furniture: short, without
+sentences, or mostly links. A box that begins with a heading like "3 comments" is one of reader comments.
 
-Defined results: null and empty pages, and pages without text, give an empty string; an unfinished tag
+Defined results: null and empty pages, and pages without text or with nothing but furniture, give an empty string; an unfinished tag
 or comment at the end is dropped; unclosed elements end where HTML's block structure ends them;
 repeated rows give repeated results; columns other than page_id, url and html are ignored.
 """
@@ -34,65 +36,105 @@ _TAG = re.compile(r"""<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _PART = re.compile(r"[a-z]+|[A-Z][a-z]*")
 _MARKS = re.compile(r"[.,;:!?…。，、；：！？·()\"“”«»]")
+_END = re.compile(r"[.!?…。！？][\"”»)]?(?:\s|$)")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 
-# HTML element classes and words that name page furniture.
+# HTML elements, and words that name page furniture.
 RAW = frozenset("script style noscript template textarea title iframe object svg math canvas xmp noembed noframes".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q ruby rt rp s samp small span strike strong sub sup time tt u var wbr label".split())
-FURNITURE = frozenset("nav footer aside form button select option menu dialog head fieldset datalist".split())
+FURNITURE = frozenset("nav footer aside".split())
+UNSEEN = frozenset("button select option menu dialog head fieldset datalist".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar toolbar".split())
 WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu breadcrumb breadcrumbs "
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored nav navbar navigation menu breadcrumb breadcrumbs "
     "sidebar aside footer header masthead cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription signup login "
-    "share sharing social related recommended comment comments disqus reply replies respond widget toolbar pagination pager skip copyright rail trending alert "
-    "form search feedback".split()
+    "comment comments disqus reply replies respond toolbar pagination pager copyright".split()
+)
+#: Words that articles use too.
+WEAK = frozenset("banner promo promotion share sharing social related recommended widget skip rail trending alert form search feedback discussion teaser teasers".split())
+#: Parts of a class name that say nothing of themselves.
+NEUTRAL = frozenset(
+    "site page main top bottom left right primary secondary global local box bar block container wrapper wrap area list item items link links button buttons icon icons "
+    "panel section inner outer content body text title heading group row col column module region post posts entry article articles story stories blog count message "
+    "info zone slot unit small large mobile desktop sticky fixed js id".split()
 )
 MARKS = frozenset(("article", "main"))
 REMARKS = frozenset("comment comments disqus reply replies respond".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements that hold words rather than boxes.
+WORDED = HEADINGS | frozenset("p li dt dd td th blockquote pre figure figcaption caption".split())
+REMARK_HEADING = re.compile(r"(?:\d+ |reader |leave an? |user |post an? )?(?:comments?|responses|replies|kommentare?|leserkommentare|commentaires?|comentarios?)(?: ?\(?\d+\)?)?:?", re.I)
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 SCOPES = frozenset("ul ol dl table body html article main section div nav aside footer header form select".split())
+#: What a furniture element and an article element do to a path's value.
+OFF, ON = 0.001, 2.0
 
 
 @dataclass
 class Block:
-    path: str
     text: str
     links: int
-    around: tuple[int, ...]
-    off: bool
-    form: bool
-    inside: bool
-    heading: bool
-    marks: frozenset[int]
+    #: The elements around it, outermost first: (label, number, whether its text decides if it is furniture).
+    around: tuple[tuple[str, int, bool], ...]
+    path: str = ""
+    weight: float = 1.0
+
+    @property
+    def tag(self) -> str:
+        return self.around[-1][0].rstrip("!") if self.around else ""
 
 
 def _attributes(raw: str) -> dict[str, str]:
     return {m[1].lower(): (m[2] or "").strip("\"'") for m in _ATTRIBUTE.finditer(raw)}
 
 
-def _furniture(tag: str, raw: str, inside: bool) -> bool:
-    """Whether an element is page furniture. A header within an article belongs to it."""
-    if tag in FURNITURE and tag != "form" or tag == "header" and not inside:
-        return True
-    if not raw or raw.isspace():
-        return False
-    own = _attributes(raw)
+def _named(own: dict[str, str]) -> set[str]:
+    """The words that classes and id end with, apart from neutral parts."""
+    out = set()
+    for token in f"{own.get('class', '')} {own.get('id', '')}".split():
+        parts = [x.lower() for x in _PART.findall(token)]
+        last = next((x for x in reversed(parts) if len(x) > 1 and x not in NEUTRAL), "")
+        # a doubtful word with a sure one, as in cookie-banner, is sure
+        out.add(next((x for x in parts if x in WORDS), last) if last in WEAK else last)
+    return out
+
+
+def _kind(tag: str, raw: str, inside: bool) -> str:
+    """What an element is: unseen, furniture, doubtful (its text decides), or nothing. A header within an article belongs to it."""
+    if tag in UNSEEN:
+        return "unseen"
+    if tag in FURNITURE or tag == "header" and not inside:
+        return "furniture"
+    own = _attributes(raw) if raw and not raw.isspace() else {}
     if "hidden" in own or own.get("aria-hidden") == "true" or _HIDDEN.search(own.get("style", "")):
-        return True
-    if own.get("role", "").lower() in ROLES:
-        return True
-    words = {w.lower() for w in _PART.findall(f"{own.get('class', '')} {own.get('id', '')}")}
+        return "unseen"
+    if own.get("role", "").lower() in ROLES or own.get("itemprop") == "comment" or own.get("itemtype", "").endswith("Comment"):
+        return "furniture"
+    words = _named(own)
     if tag in ("html", "body", "main"):
-        return False
+        return ""
     if tag == "article":
-        return bool(words & REMARKS)
-    return bool(words & WORDS - ({"header"} if inside else set()))
+        return "furniture" if words & REMARKS else ""
+    if words & WORDS - ({"header"} if inside else set()):
+        return "furniture"
+    return "doubtful" if tag == "form" or words & WEAK and tag not in WORDED else ""
+
+
+def _after(html: str, tag: str, at: int) -> int:
+    """The place after an element's end, of elements of its name within it; at if it has none."""
+    depth, where = 1, at
+    for m in re.compile(f"<(/?){tag}(?=[\\s/>])[^>]*>", re.I).finditer(html, at):
+        depth += -1 if m[1] else 1
+        where = m.end()
+        if not depth:
+            return where
+    return at
 
 
 def blocks(html: str) -> list[Block]:
-    """The page's text blocks in order."""
-    stack: list[tuple[str, int, bool, bool, bool]] = [("", 0, False, False, False)]  # tag, number, off, form, inside
+    """The page's text blocks in order, but for unseen ones."""
+    stack: list[tuple[str, int, bool, bool, bool, str]] = [("", 0, False, False, False, "")]  # tag, number, unseen, doubtful, inside, label
     out: list[Block] = []
     parts: list[str] = []
     state = {"links": 0, "n": 0}
@@ -101,10 +143,8 @@ def blocks(html: str) -> list[Block]:
     def flush() -> None:
         if parts:
             text = " ".join(unescape("".join(parts)).split())
-            if text:
-                tag, _, off, form, inside = stack[-1]
-                path = "/".join(s[0] for s in stack[1:])
-                out.append(Block(path, text, state["links"], tuple(s[1] for s in stack), off, form, inside, tag in ("h1", "h2", "h3", "h4", "h5", "h6"), frozenset(s[1] for s in stack if s[0] in MARKS)))
+            if text and not stack[-1][2]:
+                out.append(Block(text, state["links"], tuple((s[5], s[1], s[3]) for s in stack[1:])))
             parts.clear()
         state["links"] = 0
 
@@ -136,10 +176,8 @@ def blocks(html: str) -> list[Block]:
                 end = re.compile(f"</{re.escape(tag)}(?=[\\s/>])[^>]*>?", re.I).search(html, at)
                 at = end.end() if end else n
         elif tag in INLINE or tag in RAW:
-            if not closing and tag in ("span", "label") and raw and _furniture(tag, raw, True):
-                # furniture among words: skip to the element's end if it has one
-                end = re.compile(f"</{tag}\\s*>", re.I).search(html, at)
-                at = end.end() if end else at
+            if not closing and tag in ("span", "label") and raw and _kind(tag, raw, True) in ("unseen", "furniture"):
+                at = _after(html, tag, at)  # furniture among words
         elif tag in VOID:
             if tag == "hr":
                 flush()
@@ -167,15 +205,38 @@ def blocks(html: str) -> list[Block]:
                             break
                     elif stack[k][0] in SCOPES:
                         break
-            _, _, off, form, inside = stack[-1]
+            unseen, inside = stack[-1][2], stack[-1][4]
             state["n"] += 1
-            off = off or _furniture(tag, raw, inside)
+            kind = _kind(tag, raw, inside)
             if not raw.rstrip().endswith("/"):
-                stack.append((tag, state["n"], off, form or tag == "form", inside or tag in MARKS))
+                stack.append((tag, state["n"], unseen or kind == "unseen", kind == "doubtful", inside or tag in MARKS, tag + ("!" if kind == "furniture" else "")))
     flush()
     return out
 
 
+def _settle(found: list[Block]) -> None:
+    """Paths and weights, once it is known which doubtful elements and which boxes of remarks are furniture."""
+    whole = sum(len(b.text) for b in found)
+    size, links, sentences, count, first = defaultdict(int), defaultdict(int), defaultdict(int), defaultdict(int), {}
+    for b in found:
+        for label, k, _ in b.around:
+            size[k] += len(b.text)
+            links[k] += min(b.links, len(b.text))
+            sentences[k] += len(b.text) >= 40 and bool(_END.search(b.text))
+            count[k] += 1
+            first.setdefault(k, b)
+    # a box of some links, buttons or single words; a form may wrap the page
+    poor = lambda k, tag: 2 * links[k] >= size[k] or 2 * sentences[k] < count[k] if tag != "form" else size[k] <= 0.6 * whole
+    for b in found:
+        labels = []
+        for label, k, doubtful in b.around:
+            opens = first[k]
+            remarks = label not in WORDED and label not in MARKS and opens.tag in HEADINGS and 2 * size[k] < whole and REMARK_HEADING.fullmatch(opens.text)
+            labels.append(label + "!" if doubtful and poor(k, label) or remarks else label)
+        b.path = "/".join(labels)
+        b.weight = OFF if any(x.endswith("!") for x in labels) else ON ** min(2, sum(x in MARKS for x in labels))
+
+
 def _smooth(values: list[float]) -> list[float]:
     """A three-point weighted mean in page order."""
     last = len(values) - 1
@@ -195,7 +256,7 @@ def _content(nodes: list[Block]) -> set[str]:
     fused: dict[str, list[float]] = defaultdict(list)
     for b, x, y in zip(nodes, long, marked):
         # a path's share of the page's text steadies the ratio of paths with one long block
-        fused[b.path].append(math.sqrt(x * (1 + y)) * (1 - links[b.path] / size[b.path]) * math.sqrt(size[b.path]))
+        fused[b.path].append(b.weight * math.sqrt(x * (1 + y)) * (1 - links[b.path] / size[b.path]) * math.sqrt(size[b.path]))
     score = {p: sum(v) / len(v) for p, v in fused.items()}
     mean = sum(score.values()) / len(score)
     spread = math.sqrt(sum((v - mean) ** 2 for v in score.values()) / len(score))
@@ -206,41 +267,29 @@ def _content(nodes: list[Block]) -> set[str]:
 
 def extract(html: str) -> str:
     """The article's blocks, joined by line ends."""
-    found = blocks(html) if html else []
-    whole = sum(len(b.text) for b in found if not b.off)
-    if sum(len(b.text) for b in found if b.form and not b.off) <= 0.6 * whole:
-        found = [b for b in found if not b.form]  # unless a form wraps the page
-    nodes = [b for b in found if not b.off]
-    if not nodes:
+    nodes = blocks(html) if html else []
+    _settle(nodes)
+    if all(b.weight == OFF for b in nodes):
         return ""
     paths = _content(nodes)
-    chosen = [b for b in nodes if b.path in paths]
-    # the page names its article, and its paths agree
-    trusted = 2 * sum(len(b.text) for b in chosen if b.inside) > sum(len(b.text) for b in chosen)
-    if trusted and not all(b.inside for b in nodes):
-        nodes = [b for b in nodes if b.inside]
-        paths = _content(nodes)
-        chosen = [b for b in nodes if b.path in paths]
-    total = sum(len(b.text) for b in chosen)
-    mass: dict[int, int] = defaultdict(int)
-    for b in chosen:
-        for k in b.around:
-            mass[k] += len(b.text)
-    # numbers grow with depth along a path, so the largest that holds most of the content is the deepest
-    holds = {k for k, v in mass.items() if v >= 0.8 * total}
-    marks = {k for b in chosen for k in b.marks if k in holds} if trusted else set()
-    container = max(marks or holds)
-    # blocks that are mostly links are dropped with their path; a paragraph of the marked article stays
-    size, links = defaultdict(int), defaultdict(int)
+    total = sum(len(b.text) for b in nodes if b.path in paths)
+    mass, count, size, links = defaultdict(int), defaultdict(int), defaultdict(int), defaultdict(int)
+    label = {k: x for b in nodes for x, k, _ in b.around}
     for b in nodes:
         size[b.path] += len(b.text)
         links[b.path] += min(b.links, len(b.text))
+        for _, k, _ in b.around:
+            mass[k] += len(b.text) if b.path in paths else 0
+            count[k] += 1
+    # numbers grow with depth along a path, so the largest that holds most of the content is the deepest; 0 is the page
+    holds = [k for k, v in mass.items() if v >= 0.8 * total]
+    marked = [k for k in holds if label[k] in MARKS]
+    container = max(marked or [k for k in holds if label[k] not in WORDED and count[k] > 1], default=0)
     out = []
     for b in nodes:
-        linked = b.links >= 0.8 * len(b.text) and links[b.path] >= 0.8 * size[b.path] and not b.heading
-        if linked and container in marks and container in b.around and b.path.endswith("/p"):
-            linked = False
-        if (b.path in paths or container in b.around) and not linked:
+        beside = b.weight != OFF and (container == 0 or any(k == container for _, k, _ in b.around))
+        linked = b.links >= 0.8 * len(b.text) and links[b.path] >= 0.8 * size[b.path] and b.tag not in HEADINGS and b.tag != "p"
+        if b.path in paths or beside and not linked:
             out.append(b.text)
     return "\n".join(out)
 
