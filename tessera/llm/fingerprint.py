@@ -5,23 +5,26 @@ and 16 words, so that short texts have several pieces and long ones few. A piece
 44 bits of its hash with a 20-bit checksum below them. A sketch is three rows of 16 cells; each digest is
 XORed into one cell of each row. Subtracting two sketches is XOR: digests that both texts have cancel.
 
-Peeling: a cell whose checksum fits holds one digest; it is taken out of its three cells, until all cells are
-empty. The number of digests recovered is the symmetric difference of the two sets. If cells remain,
-the comparison is made again with a larger sketch: more tables of the same shape, to which the digests are dealt
-by another hash, and again with four times as many.
+Peeling: cells whose checksum fits hold one digest each; they are taken out of their three cells, and so on until all cells
+are empty. The digests recovered are the symmetric difference of the two sets.
 
-The likeness of two sketches is 1 - difference / (pieces of one + pieces of the other).
+A fingerprint is text: the number of pieces and the first sketch, and, where that one cannot be emptied by itself, a larger
+sketch: a power of two of tables of the same shape, to which the digests are dealt by another hash. A
+table that cannot be emptied is made again with other hashes, and after SALTS attempts it is the digests themselves. So
+every fingerprint can be inverted, and two of them are all a comparison needs: it subtracts the first sketches, and if
+cells remain it inverts both fingerprints and compares the sets.
+
+The likeness of two fingerprints is 1 - difference / (pieces of one + pieces of the other).
 
 Defined results: a null text is an empty one, with an all-zero sketch; two texts without pieces have
 likeness 1; repeated pieces of a text count once; rows with equal ids follow each other in the order of a hash
 of their texts; a row without an id comes before all others; a single row is its own next one; an
-empty table gives an empty result; columns other than id and text are ignored. If the largest sketch
-leaves cells, which gets more frequent with the length of the texts, the two arrays of digests are compared.
+empty table gives an empty result; columns other than id and text are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -29,8 +32,8 @@ from tessera.llm.common import partitions
 
 ROW, CELLS = 16, 48
 CHECK, KEY = (1 << 20) - 1, (1 << 44) - 1
-#: Digests for each table of the first larger sketch, and the number of larger sketches tried.
-LOAD, RETRIES = 16, 4
+#: A single sketch with more digests is not tried. Digests for each table of a larger sketch, at most; attempts for each table.
+MOST, LOAD, SALTS = 40, 16, 4
 
 
 def _pieces(text: str) -> str:
@@ -43,57 +46,92 @@ def _pieces(text: str) -> str:
     return f"array_distinct(transform({lines}, p -> transform(array(xxhash64(p) & {KEY}L), k -> shiftleft(k, 20) | (xxhash64(k) & {CHECK}L))[0]))"
 
 
-def _entry(x: str, level: str) -> str:
-    """A digest with its cells p, q, r, one in each row, and the hash g that deals it to a table of larger sketches."""
-    cells = ", ".join(f"'{name}', cast({ROW * r} + (shiftrightunsigned(h, {12 * r}) & {ROW - 1}) as int)" for r, name in enumerate("pqr"))
-    return f"transform(array(xxhash64({x}, {level})), h -> named_struct('x', {x}, {cells}, 'g', shiftrightunsigned(h, 40)))[0]"
+def _bind(value: str, name: str, body: str) -> str:
+    """body with name bound to a value that is computed once."""
+    return f"transform(array({value}), {name} -> {body})[0]"
 
 
-def _entries(digests: str, level: str) -> str:
-    return f"transform({digests}, x -> {_entry('x', level)})"
+def _entries(digests: str, salt: str) -> str:
+    """Digests with their cells, one in each row, as bits of a mask."""
+    cells = " | ".join(f"shiftleft(1L, cast({ROW * r} + (shiftrightunsigned(h, {12 * r}) & {ROW - 1}) as int))" for r in range(CELLS // ROW))
+    made = _bind(f"xxhash64(x, {salt})", "h", f"named_struct('x', x, 'm', {cells})")
+    return f"transform({digests}, x -> {made})"
 
 
-def _without(table: str, e: str) -> str:
-    """A table with an entry XORed into its cells, which puts it in or takes it out."""
-    return f"transform({table}, (c, i) -> if(i = {e}.p or i = {e}.q or i = {e}.r, c ^ {e}.x, c))"
+def _folded(table: str, entries: str) -> str:
+    """A table with entries XORed into their cells, which puts them in or takes them out."""
+    return _bind(entries, "es", f"transform({table}, (c, i) -> aggregate(es, c, (y, e) -> if(getbit(e.m, i) = 1, y ^ e.x, y)))")
 
 
-def _cells(entries: str) -> str:
-    """The table of an array of entries."""
-    return f"aggregate({entries}, array_repeat(0L, {CELLS}), (t, e) -> {_without('t', 'e')})"
+def _table(digests: str, salt: str) -> str:
+    return _folded(f"array_repeat(0L, {CELLS})", _entries(digests, salt))
 
 
-def _peel(cells: str, level: str) -> str:
-    """The number of digests in a table, or null if cells remain. A table that can be emptied holds fewer than CELLS."""
-    pure = f"get(filter(s.t, c -> c <> 0 and (c & {CHECK}L) = (xxhash64(shiftrightunsigned(c, 20)) & {CHECK}L)), 0)"
-    step = f"transform(array({pure}), x -> if(x is null, named_struct('t', s.t, 'd', s.d, 'done', true), transform(array({_entry('x', level)}), k -> named_struct('t', {_without('s.t', 'k')}, 'd', s.d + 1, 'done', false))[0]))[0]"
-    return f"aggregate(sequence(0, {CELLS}), named_struct('t', {cells}, 'd', 0, 'done', false), (s, n) -> if(s.done, s, {step}), s -> if(exists(s.t, c -> c <> 0), cast(null as int), s.d))"
+def _peel(table: str, salt: str) -> str:
+    """The digests of a table, or null if cells remain. Each round takes out all digests that stand alone in a cell."""
+    pure = f"array_distinct(filter(s.t, c -> c <> 0 and (c & {CHECK}L) = (xxhash64(shiftrightunsigned(c, 20)) & {CHECK}L)))"
+    step = _bind(pure, "ps", f"if(size(ps) = 0, named_struct('t', s.t, 'd', s.d, 'done', true), named_struct('t', {_folded('s.t', _entries('ps', salt))}, 'd', concat(s.d, ps), 'done', false))")
+    start = f"named_struct('t', {table}, 'd', cast(array() as array<bigint>), 'done', false)"
+    return f"aggregate(sequence(0, {CELLS}), {start}, (s, n) -> if(s.done, s, {step}), s -> if(exists(s.t, c -> c <> 0), cast(null as array<bigint>), s.d))"
 
 
-def _difference(p: str) -> str:
-    """The size of the symmetric difference of a pair p: digests a and b, sketches fa and fb.
+def _hex(values: str) -> str:
+    return f"array_join(transform({values}, c -> lpad(lower(hex(c)), 16, '0')), '')"
 
-    Level 0 subtracts the sketches; each further level makes a larger one: a power of two of tables. XOR being
-    subtraction, one pass over both arrays of digests gives the difference of the two larger sketches.
-    """
-    both = f"size({p}.a) + size({p}.b)"
-    tables = f"cast(shiftleft(1, cast(greatest(0, ceil(log2(({both} + 1) / {LOAD}))) as int) + 2 * (level - 1)) as int)"
-    one = _cells("filter(es, e -> (e.g & (m - 1)) = g)")
-    larger = f"transform(array({_entries(f'concat({p}.a, {p}.b)', 'level')}), es -> transform(array({tables}), m -> transform(sequence(0, m - 1), g -> {one}))[0])[0]"
-    made = f"if(level = 0, array(zip_with({p}.fa, {p}.fb, (x, y) -> x ^ y)), {larger})"
-    return f"aggregate(sequence(0, {RETRIES}), cast(null as int), (found, level) -> if(found is not null, found, aggregate(transform({made}, t -> {_peel('t', 'level')}), 0, (m, d) -> m + d)))"
+
+def _longs(text: str) -> str:
+    """What _hex() wrote."""
+    return f"transform(filter(sequence(0, length({text}) div 16), k -> 16 * k < length({text})), k -> cast(conv(substr({text}, 16 * k + 1, 16), 16, -10) as bigint))"
+
+
+def _one_table(digests: str) -> str:
+    """A table of a larger sketch as text: the first attempt's number and cells that give back all digests, or = and the digests."""
+    made = _bind(_table(digests, "salt"), "tb", _bind(_peel("tb", "salt"), "got", f"if(size(got) = size({digests}), concat(salt, {_hex('tb')}), cast(null as string))"))
+    tried = f"aggregate(sequence(1, {SALTS}), cast(null as string), (found, salt) -> if(found is not null or size({digests}) > {MOST}, found, {made}))"
+    return f"coalesce({tried}, concat('=', {_hex(f'array_sort({digests})')}))"
+
+
+def _larger(digests: str) -> str:
+    """The tables of a larger sketch. Digests are dealt to them in two steps, so that the work is not their number times the tables'."""
+    dealt = f"transform({digests}, x -> named_struct('x', x, 'g', xxhash64(x, 0, 0)))"
+    bits = f"cast(greatest(0, ceil(log2(size({digests}) / {LOAD}))) as int)"
+    coarse = "transform(sequence(0, shiftleft(1, b div 2) - 1), u -> filter(gs, e -> (e.g & (shiftleft(1, b div 2) - 1)) = u))"
+    fine = "transform(sequence(0, shiftleft(1, b - b div 2) - 1), v -> transform(filter(part, e -> (shiftrightunsigned(e.g, 32) & (shiftleft(1, b - b div 2) - 1)) = v), e -> e.x))"
+    tables = _bind(dealt, "gs", _bind(bits, "b", f"flatten(transform({coarse}, part -> {fine}))"))
+    return f"array_join(transform({tables}, own -> concat(':', {_one_table('own')})), '')"
+
+
+def _fingerprint(digests: str) -> str:
+    """An array of distinct digests as a fingerprint."""
+    alone = f"coalesce(size({_peel('t0', '0')}) = size({digests}), false)"
+    rest = f"if(if(size({digests}) > {MOST}, false, {alone}), '', {_larger(digests)})"
+    return _bind(_table(digests, "0"), "t0", f"concat(size({digests}), ':', {_hex('t0')}, {rest})")
+
+
+def _digests_of(parts: str) -> str:
+    """All digests of a fingerprint's parts (count, first sketch, tables)."""
+    table = f"if(substr(tx, 1, 1) = '=', {_longs('substr(tx, 2)')}, {_bind('cast(substr(tx, 1, 1) as int)', 'salt', _peel(_longs('substr(tx, 2)'), 'salt'))})"
+    return f"if(size({parts}) = 2, {_peel(_longs(f'{parts}[1]'), '0')}, flatten(transform(slice({parts}, 3, size({parts}) - 2), tx -> {table})))"
+
+
+def _likeness(a: str, b: str) -> str:
+    """The likeness of two fingerprints."""
+    counts = "cast(pa[0] as int) + cast(pb[0] as int)"
+    minus = f"zip_with({_longs('pa[1]')}, {_longs('pb[1]')}, (x, y) -> x ^ y)"
+    near = f"if(abs(cast(pa[0] as int) - cast(pb[0] as int)) > {MOST}, cast(null as int), size({_peel(minus, '0')}))"
+    exact = _bind(_digests_of("pa"), "da", _bind(_digests_of("pb"), "db", "size(array_except(da, db)) + size(array_except(db, da))"))
+    value = f"if({counts} = 0, 1.0D, 1.0D - coalesce({near}, {exact}) / cast({counts} as double))"
+    return _bind(f"split({a}, ':')", "pa", _bind(f"split({b}, ':')", "pb", value))
 
 
-def _likeness(p: str) -> str:
-    both = f"(size({p}.a) + size({p}.b))"
-    # where no sketch can be emptied, the difference is taken from the digests themselves
-    exact = f"size(array_except({p}.a, {p}.b)) + size(array_except({p}.b, {p}.a))"
-    return f"if({both} = 0, 1.0D, 1.0D - coalesce({_difference(p)}, {exact}) / cast({both} as double))"
+def fingerprint_of(text: str) -> Column:
+    """The fingerprint of a text column."""
+    return F.expr(_bind(_pieces(f"coalesce({text}, '')"), "ds", _fingerprint("ds")))
 
 
-def _text_of(cells: str) -> str:
-    """A sketch as text: 16 hexadecimal digits for each cell."""
-    return f"array_join(transform({cells}, c -> lpad(lower(hex(c)), 16, '0')), '')"
+def likeness(a: str, b: str) -> Column:
+    """The likeness of two columns of fingerprints."""
+    return F.expr(_likeness(a, b))
 
 
 def _index(starts: list[int], key):
@@ -105,7 +143,7 @@ def _index(starts: list[int], key):
 
 
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, text, digests, and those of the next row in ascending id (next_text, next_digests), the first after the last.
+    """doc_id, text, fingerprint, and those of the next row in ascending id (next_text, next_fingerprint), the first after the last.
 
     Ids are cut into ranges at their quantiles. A range's first row is also entered at the end of the range
     before it, so no range needs to see another, and the last one ends with the first row of all.
@@ -124,9 +162,9 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     own = F.struct(at.alias("b"), F.lit(0).alias("copy"))
     begins = F.element_at(F.array(*[F.lit(x).cast("long") for x in starts]), at + 1) == key
     entries = F.when(begins, F.array(own, F.struct(F.pmod(at - 1, F.lit(n)).cast("int").alias("b"), F.lit(1).alias("copy")))).otherwise(F.array(own))
-    placed = base.withColumns({"digests": F.expr(_pieces("text")), "e": F.explode(entries)})
+    placed = base.withColumn("fingerprint", fingerprint_of("text")).withColumn("e", F.explode(entries))
     order = Window.partitionBy("e.b").orderBy("e.copy", "doc_id", F.xxhash64("text"))
-    following = placed.withColumns({"next_text": F.lead("text").over(order), "next_digests": F.lead("digests").over(order)})
+    following = placed.withColumns({"next_text": F.lead("text").over(order), "next_fingerprint": F.lead("fingerprint").over(order)})
     return following.where("e.copy = 0").drop("e")
 
 
@@ -135,18 +173,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = with_next(docs, id_col, text_col)
     tail = F.floor(F.length("text") / 4).cast("int")
     edited = rows.withColumn("edited", F.concat(F.expr("substring(text, 1, length(text) - cast(floor(length(text) / 4) as int))"), F.substring("next_text", F.lit(1), tail)))
-    digests = F.expr(f"array(digests, {_pieces('edited')}, next_digests)").alias("digests")
-    cut = edited.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), digests)
-    # one expression for all sketches and one for both pairs: what a task compiles stays small
-    sketched = cut.withColumn("cells", F.expr(f"transform(digests, ds -> {_cells(_entries('ds', '0'))})"))
-    pairs = ", ".join(f"named_struct('a', digests[0], 'b', digests[{k}], 'fa', cells[0], 'fb', cells[{k}])" for k in (1, 2))
-    compared = sketched.withColumn("near", F.expr(f"transform(array({pairs}), p -> {_likeness('p')})"))
-    return compared.select(
-        "doc_id",
-        "n_chars",
-        "edited_sha256",
-        F.expr(_text_of("cells[0]")).alias("fingerprint"),
-        F.expr(_text_of("cells[1]")).alias("edited_fingerprint"),
-        F.expr("near[0]").alias("near_edited"),
-        F.expr("near[1]").alias("near_next"),
-    )
+    whole = edited.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", fingerprint_of("edited").alias("edited_fingerprint"), "next_fingerprint")
+    # one expression for both comparisons: what a task compiles stays small
+    compared = whole.withColumn("near", F.expr(f"transform(array(edited_fingerprint, next_fingerprint), f -> {_likeness('fingerprint', 'f')})"))
+    return compared.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", F.expr("near[0]").alias("near_edited"), F.expr("near[1]").alias("near_next"))
