@@ -6,11 +6,12 @@ fewest phrases for a character wins.
 
 Every letter of the sample is a symbol of its own, so scripts with thousands of letters are told apart; an automaton
 is a sparse table (a double array) that grows with its transitions only. Texts are parsed in lanes: all chunks
-of a batch of whole texts take one symbol at a time side by side. Every chunk starts a parse of its
-own, in all languages alike, so a text's phrase count is the sum over its chunks and no character
-is left out.
+of a batch of whole texts take one symbol at a time side by side, as if a text began with each. Then
+the parse that reaches the end of a chunk is carried on into the next one until it meets the state found there
+before, from where on both are the same. So a text's phrases are those of one parse from its beginning to its end.
 
-Learning is bounded: `rows_per_language` labelled rows with a letter for each language, chosen by a hash of the id,
+Learning is bounded: `rows_per_language` labelled rows with a letter for each language (fewer where that is more than
+`most_rows` for all languages together, but 8 at least), chosen by a hash of the id,
 short ones only after all others, and of each an excerpt of `chars_per_row` characters; the languages are all those among learnable
 rows. Work grows with their number.
 
@@ -74,7 +75,7 @@ class Automaton:
         first = np.cumsum(counts) - counts
         symbols = np.fromiter((c for x in nxt for c in x), np.int64, counts.sum())
         targets = np.fromiter((t for x in nxt for t in x.values()), np.int64, counts.sum())
-        places = 1 << int(4 * max(len(nxt), len(targets))).bit_length()
+        places = size + int(2.5 * max(len(nxt), len(targets)))
         used, taken = np.zeros(places + size + 1, bool), np.zeros(places, bool)
         at = np.zeros(len(nxt), np.int64)  # a state's number in the array; the root's is 0
         used[symbols[: counts[0]]] = taken[0] = True
@@ -172,17 +173,44 @@ class Parser:
             grid[f * LANE : f * LANE + len(c)] = c
         grid = np.ascontiguousarray(grid.reshape(total, LANE).T)
         owner = np.repeat(np.arange(len(texts)), lanes)
-        # padding has no transitions and stands at the end: each one would count as a phrase
+        # a lane's predecessor in its text; its padding stands at its end and has no transitions
+        follows = np.r_[False, owner[1:] == owner[:-1]]
         padding = (grid == self.alphabet.size).sum(axis=0)
         for k, known in enumerate(self.automata):
-            state = np.zeros(total, np.int32)
-            ended = 1 + LANE - padding
-            for column in grid:
-                state, on = known.step(state, column)
-                ended -= on
-            counts[:, k] = np.bincount(owner, weights=ended, minlength=len(texts)).astype(np.int64)
+            counts[:, k] = (lanes > 0) + np.bincount(owner, weights=self._breaks(known, grid, follows) - padding, minlength=len(texts)).astype(np.int64)
         return counts, sizes
 
+    @staticmethod
+    def _breaks(known: Automaton, grid: np.ndarray, follows: np.ndarray) -> np.ndarray:
+        """How often a phrase ends in each lane, padding included, in the parses of whole texts."""
+        states, ends = np.zeros(grid.shape, np.int32), np.zeros(grid.shape, bool)
+        state = np.zeros(grid.shape[1], np.int32)
+        for row, column in enumerate(grid):
+            state, on = known.step(state, column)
+            states[row], ends[row] = state, ~on
+        change = np.zeros(grid.shape[1], np.int64)
+        last = state.copy()
+        todo = np.flatnonzero(follows)
+        while len(todo):
+            # the parse that comes in from the lane before, until it meets this lane's
+            at, state, found, out = np.arange(len(todo)), last[todo - 1], np.zeros(len(todo), np.int64), states[-1, todo].copy()
+            for row, column in enumerate(grid):
+                lane = todo[at]
+                state, on = known.step(state, column[lane])
+                found[at] += (~on).astype(np.int64) - ends[row, lane]
+                apart = state != states[row, lane]
+                at, state = at[apart], state[apart]
+                if not len(at):
+                    break
+            out[at] = state
+            change[todo] = found
+            moved = todo[out != last[todo]]
+            last[todo] = out
+            # lanes whose predecessor ends otherwise than it was taken to
+            todo = moved[(moved + 1 < len(follows))] + 1
+            todo = todo[follows[todo]]
+        return ends.sum(axis=0) + change
+
     def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:
         counts, sizes = self.phrases(texts)
         if not self.languages:
@@ -204,7 +232,7 @@ def _parser(samples: tuple[tuple[str, str], ...]) -> Parser:
     return _parsers[samples]
 
 
-def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows_per_language: int = 128, chars_per_row: int = 240) -> tuple[tuple[str, str], ...]:
+def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows_per_language: int = 128, chars_per_row: int = 240, most_rows: int = 10_000) -> tuple[tuple[str, str], ...]:
     """The bounded sample: (language, excerpt) pairs from rows that may be learned from."""
     order = Window.partitionBy("lang").orderBy("short", "h", "id")
     lang = F.col(lang_col).cast("string")
@@ -216,6 +244,7 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     sizes = known.groupBy("lang").agg(F.count_if(~F.col("short")).alias("long"), F.count_if(F.col("short")).alias("short")).orderBy("lang").collect()
     if not sizes:
         return ()
+    rows_per_language = max(8, min(rows_per_language, most_rows // len(sizes)))
     # twice the rows wanted; short ones only where there are too few others
     few = {r["lang"]: r["short"] for r in sizes if r["long"] < rows_per_language}
     limits = {False: sample_limits({r["lang"]: r["long"] for r in sizes}, 2 * rows_per_language), True: {r["lang"]: 0 for r in sizes} | sample_limits(few, 2 * rows_per_language)}
