@@ -4,7 +4,9 @@ A document's ids are cut into pieces whose lengths lie just below 1/k of the cap
 sequences first, then the rest goes to class k = capacity // length if that wastes at most 1/SLACK
 of it, else the largest 1/k part that fits is cut off and the remainder is treated likewise. Every
 bin of class k holds exactly k pieces, so bins are filled by numbering the pieces of a class: each
-worker numbers its own bucket of pieces from an offset, and no worker waits for another. The pieces
+worker numbers its own bucket of pieces from an offset, and no worker waits for another. Buckets are dealt by
+a hash with the row's number, so rows without an id or with one id do not meet; which pieces share a sequence follows the
+order of the input's files. The pieces
 beyond a class's last full bin, fewer than k for each class and so bounded by the capacity alone, are
 packed first-fit by falling length at the end.
 
@@ -143,7 +145,8 @@ def pack(docs: DataFrame, path: str, end_id: int = 0, capacity: int = CAPACITY,
     source = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     made = source.mapInPandas(_pieces(path, end_id, capacity), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, class int")
     buckets = 4 * partitions(spark)
-    pieces = keep(made.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "start"), F.lit(buckets)).cast("int")), "pieces")
+    bucket = F.pmod(F.xxhash64("doc_id", "start", F.monotonically_increasing_id()), F.lit(buckets))
+    pieces = keep(made.withColumn("bucket", bucket.cast("int")), "pieces")
     # as many rows as there are classes times buckets
     counts = pieces.groupBy("class", "bucket").count()
     totals = {r["class"]: r["n"] for r in counts.groupBy("class").agg(F.sum("count").alias("n")).collect()}
@@ -155,13 +158,14 @@ def pack(docs: DataFrame, path: str, end_id: int = 0, capacity: int = CAPACITY,
         return pieces.select(*out[:5], F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     of_class = spark.createDataFrame([(k, base[k], totals[k] // k * k) for k in totals], "class int, base long, full long")
     before = Window.partitionBy("class").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("class", "bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("before")).join(F.broadcast(of_class), "class")
-    own = Window.partitionBy("bucket", "class").orderBy("doc_id", "start", "ids_crc32")
+    offsets = counts.select("class", "bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("before"))
+    # an offset is a row of its own, the first one of its bucket and class: their number grows with the cluster, so it is not broadcast
+    both = pieces.unionByName(offsets, allowMissingColumns=True).repartition(partitions(spark), "bucket")
+    own = Window.partitionBy("bucket", "class").orderBy(F.col("before").isNull(), "doc_id", "start", "ids_crc32")
     numbered = (
-        pieces.repartition(partitions(spark), "bucket")
-        .withColumn("own", F.row_number().over(own) - 1)
-        .join(F.broadcast(offsets), ["class", "bucket"])
-        .withColumn("number", F.col("before") + F.col("own"))
+        both.withColumn("number", F.row_number().over(own) - 2 + F.first("before").over(own))
+        .where(F.col("before").isNull())
+        .join(F.broadcast(of_class), "class")
     )
     in_bin = Window.partitionBy("sequence_id").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
     filled = (
