@@ -1,6 +1,7 @@
 """Toxicity by a weighted lexicon, matched with an Aho-Corasick automaton.
 
-Text is folded first: lower case, compatibility forms, look-alike letters of other alphabets, and
+Text is folded first: lower case, compatibility forms, look-alike letters of other alphabets (in words that mix them
+with Latin letters, and in words of nothing else within a Latin text), and
 digits or signs that stand for letters between letters. The folded words are joined by single
 spaces, so terms are whole words (" idiot ") or beginnings of words (" achlich"). At each
 word the longest term counts, unless an exception phrase covers it. The score is a logistic
@@ -48,15 +49,29 @@ _WORD = re.compile(r"[^\W\d_]+")
 HIDDEN = dict.fromkeys([0xAD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF])
 #: translate() is slow, and few texts need it.
 _LOOKS, _HIDES = (re.compile("[" + "".join(map(re.escape, x)) + "]") for x in (LOOK_ALIKE, map(chr, HIDDEN)))
+_RUN = re.compile(r"[\w@$!|]+")
+_LATIN, _ANY = re.compile("[a-z]"), re.compile(r"[^\W\d_]")
 PREFIX = range(4, 9)
 
 
+def _unmasked(text: str) -> str:
+    """Look-alikes as the letters they stand for; words of another script stay as they are."""
+    latin = 2 * len(_LATIN.findall(text)) > len(_ANY.findall(text))
+
+    def one(m: re.Match) -> str:
+        run = m[0]
+        foreign = _LATIN.search(run) is None and not (latin and all(c in LOOK_ALIKE for c in _ANY.findall(run)))
+        return run if foreign else run.translate(_LOOK)
+
+    return _RUN.sub(one, text)
+
+
 def words_of(text: str) -> list[str]:
     """The folded words of a text."""
     text = text.lower()
     if not text.isascii():
         text = unicodedata.normalize("NFKC", text.translate(HIDDEN) if _HIDES.search(text) else text).lower()
-        text = text.translate(_LOOK) if _LOOKS.search(text) else text
+        text = _unmasked(text) if _LOOKS.search(text) else text
     return _WORD.findall(_SIGN.sub(lambda m: m[0].translate(_SIGNS), text))
 
 
@@ -199,7 +214,7 @@ def learn(docs: DataFrame, labels: DataFrame, rows_per_class: int = 2500, most_t
                     before = folded.rfind(" ", 0, start)
                     around |= {folded[start : after + 1]} if after > 0 else set()
                     around |= {folded[before : stop + 1]} if before >= 0 else set()
-                seen.update((p, y) for p in around if len(p) < 80)
+                seen.update((p, y) for p in around)
         if seen:
             yield pd.DataFrame([(p, y, k) for (p, y), k in seen.items()], columns=["phrase", "y", "n"])
 

@@ -57,3 +57,25 @@ def test_every_disguise_is_folded_alone():
     for odd in ("\u0131d\u0131ot", "id\u2170ot", "\u24d8\u24d3\u24d8\u24de\u24e3", "\u2071diot", "id\u00adiot", "i\u0501iot", "\uff49diot", "id\u200biot"):
         assert words_of(odd) == words_of(odd + " \u2019")[:1] == ["idiot"]
     assert words_of("foo\u0142") == ["fool"]
+
+
+def test_genuine_words_of_other_scripts_are_not_folded():
+    russian = "привет ЗДОРОВО и соха"
+    assert words_of(russian) == ["привет", "здорово", "и", "соха"]
+    assert words_of("και το νερό") == ["και", "το", "νερό"]
+    # masked words: mixed, or all of look-alikes within a Latin text
+    assert words_of("an \u0430\u0455\u0455 and an аss") == ["an", "ass", "and", "an", "ass"]
+
+
+def _rates(spark, docs):
+    sf = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    toxic = {r["doc_id"]: r["toxic"] for r in labels.collect()}
+    got = [r for r in toxicity_query(docs, labels).collect() if r["held_out"] and r["doc_id"] in toxic]
+    of = lambda y: [r["predicted"] for r in got if toxic[r["doc_id"]] == y]
+    return sum(of(1)) / len(of(1)), sum(of(0)) / len(of(0))
+
+
+def test_held_out_rows_of_the_tables(spark):
+    caught, flagged = _rates(spark, spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    assert caught >= 0.75 and flagged <= 0.05
