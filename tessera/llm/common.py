@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import ctypes
 import gc
-import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,24 +20,67 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share. One of our own is made only where none is set, as in tests."""
+    """The folder all executors share. Only where none is set, as in tests, it is one in the warehouse."""
     there = spark.conf.get("spark.checkpoint.dir", None)
-    if not there:
-        there = tempfile.mkdtemp(prefix="tessera-")
-        spark.conf.set("spark.checkpoint.dir", there)
-    return there
+    return there or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/tessera-work"
+
+
+_kept: list[tuple[SparkSession, str]] = []
 
 
 def keep(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back: lineage ends at files that outlive executors."""
+    """Write df to the shared folder and read it back: lineage ends at files that outlive executors.
+
+    What is still there when the driver's process ends is removed then, and earlier by keep_result().
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _kept.append((spark, path))
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def keep_result(make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """keep() what make returns, and remove all tables that it kept on its way."""
+    before = len(_kept)
+    out = keep(make(), name)
+    inner = _kept[before:-1]
+    del _kept[before:-1]
+    _remove(inner)
+    return out
+
+
+def _remove(tables: list[tuple[SparkSession, str]]) -> None:
+    for spark, path in tables:
+        context = spark.sparkContext
+        where = context._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(context._jvm.org.apache.hadoop.conf.Configuration() if context._jsc is None else context._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@atexit.register
+def _remove_all() -> None:
+    try:
+        _remove(_kept)
+    except Exception:  # noqa: BLE001 - the JVM may be gone; the folder is a scratch folder
+        pass
+    _kept.clear()
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names like these that df does not have."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for n in names:
+        while n.lower() in taken:
+            n = f"{n}_"
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
 def small_batches(df: DataFrame) -> DataFrame:
-    """Texts are long: no more than BATCH_ROWS of them go to Python at once (Spark also limits a batch's bytes)."""
+    """Texts are long: no more than BATCH_ROWS of them go to Python at once. Spark knows this limit by session only, so it
+    is lowered for the session's other queries too, whose results do not depend on it."""
     conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(conf.get(name, "10000")) > BATCH_ROWS:
         conf.set(name, str(BATCH_ROWS))

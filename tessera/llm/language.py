@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tessera.llm.common import held_out, learnable, place, sample_limits, small_batches, worker_cache
+from tessera.llm.common import fresh, held_out, learnable, place, sample_limits, small_batches, worker_cache
 
 LANE = 128
 SHARPNESS = 0.5
@@ -280,7 +280,8 @@ def identify(docs: DataFrame, samples: tuple[tuple[str, str], ...], text_col: st
             langs, scores = (langs + a)[: len(texts)], (scores + b)[: len(texts)]
             yield pd.DataFrame({lang_out: langs, score_out: scores})
 
-    return small_batches(docs).withColumn("_identified", predict(F.col(text_col))).select(*[F.col(f"`{c}`") for c in docs.columns], F.col(f"_identified.{lang_out}"), F.col(f"_identified.{score_out}"))
+    (found,) = fresh(docs, "identified")
+    return small_batches(docs).withColumn(found, predict(F.col(text_col))).select(*[F.col(f"`{c}`") for c in docs.columns], F.col(f"{found}.{lang_out}"), F.col(f"{found}.{score_out}"))
 
 
 def language_query(docs: DataFrame) -> DataFrame:
