@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tessera.functions.text import strip
+from tessera.functions.text import lstrip, strip
 
 
 @dataclass(frozen=True)
@@ -31,11 +31,12 @@ def rejection_reason(text: Column, license_: Column, rules: QualityRules | None
     tokens = F.split(strip(text), r"(?U)\s+")
     shown = F.regexp_replace(text, r"(?m)^[ \t]*([=\-~^\"'`:+*#<>_])\1{2,}[ \t]*$", "") if rules.exempt_underlines else text
     replaced = F.length(text) - F.length(F.replace(text, F.lit("\ufffd"), F.lit("")))
-    alnum = F.length(text) - F.length(F.regexp_replace(text, r"[\p{L}\p{N}]", ""))
+    alnum = F.length(F.regexp_replace(text, r"[^\p{L}\p{N}]+", ""))
+    url = r"(?i)\Ahttps?://."
     return (
         F.when(F.length(text) < rules.min_chars, "too_short")
         .when(strip(F.coalesce(license_, F.lit(""))) == "", "missing_license")
-        .when(F.forall(tokens, lambda t: t.rlike(r"(?i)\Ahttps?://.")), "url_only")
+        .when(lstrip(text).rlike(url) & F.forall(tokens, lambda t: t.rlike(url)), "url_only")
         .when(shown.rlike(REPEATED), "repeated_punctuation")
         .when(replaced / size > rules.max_replacement_ratio, "too_many_replacement_chars")
         .when(alnum / size < rules.min_alnum_ratio, "low_alnum_ratio")

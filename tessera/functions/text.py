@@ -1,7 +1,7 @@
 """Text functions as columns: identifiers, token estimates, normalisation, fingerprints.
 
-Only Unicode normalisation and case folding need Python, and only rows that are not plain ASCII are handed to it.
-White space is Unicode's, as (?U) patterns see it; anchors are \\A and \\z, since $ also matches before a line end.
+Only Unicode normalisation and case folding need Python, and only rows with characters that these may change are handed to it.
+White space is Unicode's; anchors are \\A and \\z, since $ also matches before a line end.
 """
 
 from __future__ import annotations
@@ -17,12 +17,17 @@ from pyspark.sql.types import StringType
 PART = "\x1f"
 #: What ends a line in raw text, and in text without control characters.
 LINE_ENDS = "\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
-LINE_ENDS_CLEAN = "[\n\x85\u2028\u2029]"
+OTHER_ENDS = "[\x85\u2028\u2029]"
 CONTROLS = "[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]"
-# Lines that carry no content, matched against the stripped line.
-LEADER_LINE = r"(?U)\A.{2,100}\.{5,}\s*\d+\s*\z"
-BOILERPLATE_LINE = r"(?iU)\A(?:table of contents|skip to (?:main )?content|previous|next|edit on github)\z|\A© copyright\b"
-NOT_ASCII = "[^\\x00-\\x7F]"
+#: White space within a line of text without control characters, and all white space.
+BLANK = "[ \t\xa0\u1680\u2000-\u200a\u202f\u205f\u3000]"
+SPACE = "[ \t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+# Lines that carry no content. Lines have no blanks at their ends here.
+LEADER_LINE = rf"(?md)^{BLANK}*+(?!{BLANK}).{{2,100}}\.{{5,}}{BLANK}*\p{{Nd}}++(?:\n|\z)"
+BOILERPLATE_LINE = rf"(?mdiu)^{BLANK}*+(?:table of contents|skip to (?:main )?content|previous|next|edit on github|©{BLANK}*+copyright(?![\p{{L}}\p{{N}}_])[^\n]*+)(?:\n|\z)"
+#: Characters that NFC leaves alone, whatever stands beside them; and those that NFKC leaves alone and lower() folds, but for \xdf.
+COMPOSED = "\\x00-\u02ff\u0400-\u0482\u048a-\u052f\u2010-\u2027\u2030-\u205e\u20a0-\u20bf\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fff\uac00-\ud7a3\ufffd"
+FOLDED = "\\x00-\\x7f\xa1-\xa7\xa9\xab-\xae\xb0\xb1\xb6\xb7\xbb\xbf-\xff\u2013\u2014\u2018-\u201e\u2020-\u2022\u20ac"
 
 
 def lstrip(c: Column) -> Column:
@@ -89,24 +94,30 @@ def _folded(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t).casefold())
 
 
-def _where_needed(udf, text: Column, plain: Column) -> Column:
-    """The Python function's result for rows that are not ASCII; others reach Python as nulls."""
-    odd = text.rlike(NOT_ASCII)
-    return F.coalesce(udf(F.when(odd, text)), plain)
+def _where_needed(udf, text: Column, safe: str, plain: Column) -> Column:
+    """The Python function's result for rows with other than safe characters; others reach Python as nulls."""
+    return F.coalesce(udf(F.when(text.rlike(f"[^{safe}]"), text)), plain)
 
 
 def normalize_text(text: Column) -> Column:
-    """Line ends, NFC, control characters, empty furniture lines, trailing space and long gaps; indentation stays."""
+    """Line ends, NFC, control characters, empty furniture lines, trailing space and long gaps; indentation stays.
+
+    Patterns run over the whole text: a line that goes takes its line end with it.
+    """
     ends = F.regexp_replace(text, "\r\n?", "\n")
-    composed = _where_needed(_nfc, ends, ends)
-    lines = F.split(F.regexp_replace(composed, CONTROLS, ""), LINE_ENDS_CLEAN, -1)
-    kept = F.filter(lines, lambda x: ~strip(x).rlike(LEADER_LINE) & ~strip(x).rlike(BOILERPLATE_LINE))
-    return strip(F.regexp_replace(F.array_join(F.transform(kept, rstrip), "\n"), "\n{4,}", "\n\n\n"))
+    composed = _where_needed(_nfc, ends, COMPOSED, ends)
+    lines = F.regexp_replace(F.regexp_replace(composed, CONTROLS, ""), OTHER_ENDS, "\n")
+    even = F.regexp_replace(lines, rf"{BLANK}++(?=\n|\z)", "")
+    kept = F.regexp_replace(F.when(F.contains(even, F.lit(".....")), F.regexp_replace(even, LEADER_LINE, "")).otherwise(even), BOILERPLATE_LINE, "")
+    # blanks are left at the beginning only
+    short = F.regexp_replace(F.regexp_replace(kept, "\n{4,}", "\n\n\n"), rf"\A{SPACE}+", "")
+    return F.rtrim(short, F.lit("\n"))
 
 
 def fold_text(text: Column) -> Column:
     """Compatibility form, case folded, white space as single spaces."""
-    return strip(F.regexp_replace(_where_needed(_folded, text, F.lower(text)), r"(?U)\s+", " "))
+    plain = F.replace(F.lower(text), F.lit("\xdf"), F.lit("ss"))
+    return F.trim(F.regexp_replace(_where_needed(_folded, text, FOLDED, plain), rf"{SPACE}+", " "))
 
 
 def exact_fingerprint(text: Column) -> Column:

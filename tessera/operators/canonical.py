@@ -192,5 +192,6 @@ RENDERERS = {"hf": render, "llama": render, "qwen": render, "gemma": render}
 
 @F.pandas_udf(StructType([StructField("messages", StringType()), StructField("tools", StringType())]))
 def rendered(rows: pd.Series) -> pd.DataFrame:
-    both = [render(json.loads(r)) for r in rows]
-    return pd.DataFrame({"messages": [dumps(m) for m, _ in both], "tools": [dumps(t) for _, t in both]})
+    """messages and tools of canonical rows in JSON text; nulls where there is no row."""
+    both = [(None, None) if r is None else tuple(map(dumps, render(json.loads(r)))) for r in rows]
+    return pd.DataFrame(both, columns=["messages", "tools"], dtype=object)

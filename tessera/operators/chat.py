@@ -73,8 +73,10 @@ def check_chats(chats: DataFrame, excluded: DataFrame | None = None, rules: Chat
     )
     judged = cleaned.withColumns({"reason": first, "fingerprint": F.sha2("_json", 256)}).drop("_json", "_reserved")
     good = judged.where("reason is null").groupBy("fingerprint").agg(F.min("ord").alias("_first"))
-    joined = judged.join(good, "fingerprint", "left")
-    return joined.withColumn("reason", F.when(F.col("reason").isNull() & (F.col("ord") != F.col("_first")), "exact_duplicate").otherwise(F.col("reason"))).drop("_first")
+    # rejected chats, many of them without a fingerprint, go past the join
+    joined = judged.where("reason is null").join(good, "fingerprint")
+    told = joined.withColumn("reason", F.when(F.col("ord") != F.col("_first"), "exact_duplicate")).drop("_first")
+    return told.unionByName(judged.where("reason is not null"))
 
 
 def sample_chats(checked: DataFrame, rules: ChatRules | None = None) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from tessera.functions.quality import QualityRules, rejection_reason
 from tessera.functions.text import estimate_tokens, exact_fingerprint, normalize_text
 from tessera.operators.sections import let
+from tessera.sources.scratch import keep
 
 
 def assemble_documents(records: DataFrame, keys: list[str], text_col: str = "text", ord_col: str = "ord", separator: str = "\n\n") -> DataFrame:
@@ -43,10 +44,24 @@ def quality_checked(records: DataFrame, rules: QualityRules | None = None) -> Da
 
 
 def contiguity_violations(records: DataFrame, keys: list[str], block: list[str]) -> DataFrame:
-    """Documents whose records do not stand next to each other in a file (block), by order value."""
-    w = Window.partitionBy(*block).orderBy("ord")
-    changed = F.struct(*keys) != F.lag(F.struct(*keys)).over(w)
-    return records.withColumn("_new", F.coalesce(changed, F.lit(True)).cast("int")).groupBy(*block, *keys).agg(F.sum("_new").alias("runs")).where("runs > 1")
+    """Documents whose records do not stand next to each other in a file (block), by order value.
+
+    A file is not sorted in one task: its order is cut into ranges, runs are counted in each, and a run that goes on from
+    one range to the next is counted once.
+    """
+    spark = records.sparkSession
+    ranged = records.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *block, "ord").withColumn("_range", F.spark_partition_id())
+    w = Window.partitionBy(*block, "_range").orderBy("ord")
+    key = F.struct(*keys)
+    marked = ranged.withColumns({"_new": F.coalesce(key != F.lag(key).over(w), F.lit(True)), "_last": F.lead("ord").over(w).isNull(), "_first": F.lag("ord").over(w).isNull()})
+    # kept, as ranges are only the same within one run
+    runs = keep(marked.groupBy(*block, "_range", *keys).agg(F.sum(F.col("_new").cast("int")).alias("n"), F.max("_first").alias("first"), F.max("_last").alias("last")), "runs")
+    ends = runs.where("last").select(*block, "_range", key.alias("end"))
+    begins = runs.where("first").select(*block, "_range", key.alias("begin"))
+    # one row for each range of a file
+    order = Window.partitionBy(*block).orderBy("_range")
+    joints = begins.join(ends, [*block, "_range"]).withColumn("before", F.lag("end").over(order)).where("begin = before").select(*block, *[F.col(f"begin.{k}").alias(k) for k in keys], F.lit(-1).cast("long").alias("n"))
+    return runs.select(*block, *keys, "n").unionByName(joints).groupBy(*block, *keys).agg(F.sum("n").alias("runs")).where("runs > 1")
 
 
 def clean_records(checked: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -78,12 +78,17 @@ def assign_groups(rows: DataFrame, group_col: str, seed: int = 42, share: float
     return placed.select("group", checked.cast("string").alias("split"))
 
 
-def merge_shuffled(*parts: DataFrame, seed: int = 42) -> DataFrame:
-    """The union of the sources' rows (id, source, split and more), each split in the order of a hash."""
+def merged(*parts: DataFrame, seed: int = 42) -> DataFrame:
+    """The union of the sources' rows (id, source, split and more), with the hash that orders each split."""
     union = parts[0]
     for p in parts[1:]:
         union = union.unionByName(p, allowMissingColumns=True)
-    return union.withColumn("shuffle_key", seeded_hash(F.concat("split", F.lit(":"), F.col("id").cast("string")), seed)).orderBy("split", "shuffle_key")
+    return union.withColumn("shuffle_key", seeded_hash(F.concat("split", F.lit(":"), F.col("id").cast("string")), seed))
+
+
+def merge_shuffled(*parts: DataFrame, seed: int = 42) -> DataFrame:
+    """merged() in its order: each split by its hashes."""
+    return merged(*parts, seed=seed).orderBy("split", "shuffle_key")
 
 
 def take_subset(df: DataFrame, limit: int | None, id_col: str, seed: int = 42) -> DataFrame:

@@ -15,6 +15,7 @@ from tessera.functions import text as T
 from tessera.functions.quality import rejection_reason
 from tessera.functions.values import json_type, metadata_object
 from tessera.operators import agent, canonical, chat, cleaning, sections, splits, stats
+from tessera.sources.scratch import keep
 
 SEED = 42
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,25 +47,75 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def with_literals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents as records, and the literal ones."""
+    d = documents(spark, sf_dir)
+    more = spark.createDataFrame(LITERALS, "ord long, license string, text string")
+    return d.unionByName(more.select(*[F.col(c) if c in more.columns else F.lit("-" if c == "source" else None).cast(d.schema[c].dataType).alias(c) for c in d.columns]))
+
+
 def chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """conversations as chats, one row each."""
     return chat.assemble_chats(_read(spark, sf_dir, "conversations")).select(F.col("conv_id").cast("string").alias("prompt_id"), "messages", F.col("conv_id").alias("ord"))
 
 
-# SQL that several queries share. White space that a text of the tables may hold; line ends are plain there.
-_WS = r"[\s\x0b\x1c-\x1f\x85\p{Z}]"
+_PROSE = "Routers keep tables of prefixes and pass packets to the next hop, which does the same again. " * 3
+#: Records that the tables have none of: (doc_id, license, text). Every line rule and every reason occurs.
+LITERALS = [
+    (-1, "CC", "  Table Of Contents \nfirst\r\n   kept indent \t\rPREVIOUS\n\n\n\n\n\nnext\nSkip to content\nskip to main content\nEdit on GitHub\nnext hop\nlast  \n\n"),
+    (-2, "CC", "Chapter one ........ 12\nA.....3\nab.....\n.....7\n©copyright all\n©   Copyright 2020 by all\n ©\tCOPYRIGHT\n© copyrighted\ncopyright ©"),
+    (-3, "CC", "a\x01b\x0bc\x7f d\x85e\u2028f\u2029g\xa0\nh\u3000\ne\u0301 café \u212b"),
+    (-4, "CC", " \n\t\n "),
+    (-5, "CC", "next"),
+    (-6, "", _PROSE),
+    (-7, " \t", _PROSE),
+    (-8, "CC", "https://example.net/a/long/path/to/some/page HTTP://example.org/?q=1\n" * 4),
+    (-9, "CC", "https://example.net/a/long/path/to/some/page and\n" * 5),
+    (-10, "CC", _PROSE + "\n" + "=" * 16 + "\n"),
+    (-11, "CC", _PROSE + "\n" + "=" * 15 + "\n" + "_" * 20 + "é" * 16),
+    (-12, "CC", _PROSE + "\ufffd" * 9),
+    (-13, "CC", _PROSE + "\ufffd" * 2),
+    (-14, "CC", "+- */ ab; " * 30),
+    (-15, "CC", "+-*/; a. " * 30),
+    (-16, "CC", "too short"),
+]
+
+
+def _sql_text(x: str) -> str:
+    """A string for SQL, other than printable ASCII characters by number."""
+    return " || ".join("'" + c.replace("'", "''") + "'" if c.isprintable() and c.isascii() else f"chr({ord(c)})" for c in _runs(x)) or "''"
+
+
+def _runs(x: str) -> list[str]:
+    out: list[str] = []
+    for c in x:
+        plain = c.isascii() and c.isprintable()
+        if plain and out and out[-1].isascii() and out[-1].isprintable():
+            out[-1] += c
+        else:
+            out.append(c)
+    return out
+
+
+# SQL that several queries share. White space that a text of the tables may hold.
+_WS = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
 _STRIP = lambda x: rf"regexp_replace(regexp_replace({x}, '^{_WS}+', ''), '{_WS}+$', '')"
 _LEADER = r"^.{2,100}\.{5,}\s*\d+\s*$"
-_BOILER = r"(?i)^(table of contents|skip to (main )?content|previous|next|edit on github)$|^(?i:© copyright)\b"
-_NORMAL = f"""{_STRIP(f"regexp_replace(array_to_string(list_transform(list_filter(string_split(nfc_normalize(text), chr(10)), lambda x: not regexp_matches({_STRIP('x')}, '{_LEADER}') and not regexp_matches({_STRIP('x')}, '{_BOILER}')), lambda x: regexp_replace(x, '{_WS}+$', '')), chr(10)), '\\n{{4,}}', chr(10) || chr(10) || chr(10), 'g')")}"""
+_BOILER = r"(?i)^(table of contents|skip to (main )?content|previous|next|edit on github)$|^©\s*copyright\b"
+_LINES = r"string_split_regex(regexp_replace(nfc_normalize(regexp_replace(text, '\r\n?', chr(10), 'g')), '[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]', '', 'g'), '[\n\x{85}\x{2028}\x{2029}]')"
+_NORMAL = f"""{_STRIP(f"regexp_replace(array_to_string(list_transform(list_filter({_LINES}, lambda x: not regexp_matches({_STRIP('x')}, '{_LEADER}') and not regexp_matches({_STRIP('x')}, '{_BOILER}')), lambda x: regexp_replace(x, '{_WS}+$', '')), chr(10)), '\\n{{4,}}', chr(10) || chr(10) || chr(10), 'g')")}"""
 _FOLD = lambda x: _STRIP(rf"regexp_replace(replace(lower({x}), 'ß', 'ss'), '{_WS}+', ' ', 'g')")
 _ALNUM = r"length(t) - length(regexp_replace(t, '[\p{L}\p{N}]', '', 'g'))"
 _REASON = rf"""case when length(t) < 200 then 'too_short'
+  when {_STRIP('license')} = '' then 'missing_license'
   when len(list_filter(string_split_regex({_STRIP('t')}, '{_WS}+'), lambda k: not regexp_matches(k, '(?i)^https?://.'))) = 0 then 'url_only'
   when len(list_filter(list_distinct(string_split(t, '')), lambda k: not regexp_matches(k, '[\p{{L}}\p{{N}}_\s\p{{Z}}]') and contains(t, repeat(k, 16)))) > 0 then 'repeated_punctuation'
   when (length(t) - length(replace(t, chr(65533), ''))) / greatest(1, length(t))::double > 0.01 then 'too_many_replacement_chars'
   when ({_ALNUM}) / greatest(1, length(t))::double < 0.2 then 'low_alnum_ratio' end"""
-_CHECKED = f"with n as (select doc_id, source, {_NORMAL} as t from documents), c as (select *, {_REASON} as reason from n)"
+_TABLE = "select doc_id, source, 'CC' as license, text from documents"
+_MORE = f"{_TABLE} union all select * from (values {', '.join(f'({i}, chr(45), {_sql_text(l)}, {_sql_text(t)})' for i, l, t in LITERALS)}) as v(doc_id, source, license, text)"
+_JUDGED = lambda of: f"with i as ({of}), n as (select doc_id, source, license, {_NORMAL} as t from i), c as (select *, {_REASON} as reason from n)"
+_CHECKED = _JUDGED(_TABLE)
 _TOKENS = lambda x: f"cast(greatest(1, round_even(length({x}) / 4.0::double, 0)) as bigint)"
 _ACCEPTED = f"{_CHECKED}, f as (select *, sha256({_FOLD('t')}) as fp from c where reason is null), a as (select *, row_number() over (partition by fp order by doc_id) as k from f)"
 
@@ -96,9 +147,9 @@ def stable_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read(spark, sf_dir, "documents").select("doc_id", T.stable_id(F.col("source"), F.col("doc_id")).alias("id"))
 
 
-@query(f"select doc_id, sha256(t) as text_sha256, length(t)::bigint as n from (select doc_id, {_NORMAL} as t from documents)")
+@query(f"select doc_id, sha256(t) as text_sha256, length(t)::bigint as n from (select doc_id, {_NORMAL} as t from ({_MORE}))")
 def normalize_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = _read(spark, sf_dir, "documents").select("doc_id", T.normalize_text(F.col("text")).alias("t"))
+    d = with_literals(spark, sf_dir).select(F.col("ord").alias("doc_id"), T.normalize_text(F.col("text")).alias("t"))
     return d.select("doc_id", F.sha2("t", 256).alias("text_sha256"), F.length("t").cast("long").alias("n"))
 
 
@@ -114,9 +165,9 @@ def _checked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.quality_checked(documents(spark, sf_dir))
 
 
-@query(f"{_CHECKED} select doc_id, coalesce(reason, 'accepted') as reason from c")
+@query(f"{_JUDGED(_MORE)} select doc_id, coalesce(reason, 'accepted') as reason from c")
 def quality_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _checked(spark, sf_dir).select(F.col("ord").alias("doc_id"), F.coalesce("reason", F.lit("accepted")).alias("reason"))
+    return cleaning.quality_checked(with_literals(spark, sf_dir)).select(F.col("ord").alias("doc_id"), F.coalesce("reason", F.lit("accepted")).alias("reason"))
 
 
 @query(f"{_CHECKED} select source, coalesce(reason, 'accepted') as reason, count(*) as records from c group by all")
@@ -145,9 +196,9 @@ def dedup_keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"select doc_id, nullif(first_value(doc_id) over (partition by sha256({_FOLD('text')}) order by doc_id), doc_id) as duplicate_of from documents")
 def duplicate_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    marked = cleaning.mark_duplicates(_narrow(spark, sf_dir), "fp", "doc_id", ["source"])
-    first = _narrow(spark, sf_dir).groupBy("fp").agg(F.min("doc_id").alias("first"))
-    return marked.join(first, "fp").select("doc_id", F.when(F.col("duplicate_of").isNotNull(), F.col("first")).alias("duplicate_of"))
+    # a fingerprint is computed once; what is read twice is a table of two numbers and a hash
+    narrow = keep(_narrow(spark, sf_dir).select("doc_id", F.col("doc_id").alias("ord"), "fp"), "fingerprints")
+    return cleaning.mark_duplicates(narrow, "fp", "ord", ["doc_id"]).select("doc_id", F.col("duplicate_of.doc_id").alias("duplicate_of"))
 
 
 @query("select conv_id, sha256(string_agg(text, chr(10) || chr(10) order by turn)) as text_sha256, count(*) as sections from conversations group by conv_id")
@@ -166,14 +217,21 @@ def contiguity_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.contiguity_violations(e, ["event_type"], ["user_id"]).select("user_id", "event_type", F.col("runs").cast("long").alias("runs"))
 
 
+def _judged_narrow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """source, document, ord, reason, tokens, fp of every record: texts are cleaned once, and all that follows reads this table."""
+    text = F.col("text")
+    return keep(_checked(spark, sf_dir).select("source", "document", "ord", "reason", T.estimate_tokens(text).alias("tokens"), F.when(F.col("reason").isNull(), T.exact_fingerprint(text)).alias("fp")), "judged")
+
+
 @query(
     f"{_ACCEPTED} select source, count(*) as input_documents, count(*) filter (k = 1) as accepted_records, coalesce(sum({_TOKENS('t')}) filter (k = 1), 0)::bigint as estimated_tokens, "
     "count(*) filter (k > 1) as duplicate_documents from (select c.source, c.t, a.k from c left join a using (doc_id)) group by source"
 )
 def source_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    checked = _checked(spark, sf_dir).withColumn("fp", T.exact_fingerprint(F.col("text"))).select("source", "ord", "reason", "fp", T.estimate_tokens(F.col("text")).alias("tokens"))
+    checked = _judged_narrow(spark, sf_dir)
     first = checked.where("reason is null").groupBy("fp").agg(F.min("ord").alias("first"))
-    judged = checked.join(first, (checked["fp"] == first["fp"]) & checked["reason"].isNull(), "left")
+    # rejected records, which have no fingerprint, go past the join
+    judged = checked.where("reason is null").join(first, "fp").select("source", "ord", "tokens", "first").unionByName(checked.where("reason is not null").select("source", "ord", "tokens", F.lit(None).cast("long").alias("first")))
     kept = F.col("first") == F.col("ord")
     return judged.groupBy("source").agg(
         F.count(F.lit(1)).alias("input_documents"),
@@ -245,7 +303,8 @@ def subset(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def merged_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = splits.assign_by_source(_named(spark, sf_dir), SEED).select(F.col("document").alias("id"), "source", "split")
-    merged = splits.merge_shuffled(s.where("source < 'src5'"), s.where("source >= 'src5'"), seed=SEED)
+    early = F.coalesce(F.col("source") < "src5", F.lit(True))
+    merged = splits.merged(s.where(early), s.where(~early), seed=SEED)
     return splits.ranked(merged, ["split"], F.col("shuffle_key")).select("id", "source", "split", "shuffle_key", F.col("rn").cast("long").alias("place"))
 
 
@@ -312,13 +371,14 @@ def sections_rst(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    _SECTIONS.format(body=_STRIP("case when row_number() over (partition by conv_id order by turn) = 1 then '# book' || chr(10) else '' end || '## ' || role || ' ' || turn || chr(10) || text"))
-    + " where conv_id in (select conv_id from conversations group by 1 having count(*) >= 2)"
+    _SECTIONS.format(body=_STRIP("case when row_number() over (partition by conv_id order by turn) = 1 then '# book' || chr(10) else '' end || '## ' || role || ' ' || turn || chr(10) || text")).replace(
+        "role || ' ' || turn as section_title", "case when count(*) over (partition by conv_id) = 1 then 'book' else role || ' ' || turn end as section_title"
+    )
 )
 def chapters_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
-    several = _assembled(spark, sf_dir, "'## ', role, ' ', turn").withColumn("text", F.concat(F.lit("# book\n"), "text"))
-    n = _read(spark, sf_dir, "conversations").groupBy("conv_id").count().where("count >= 2").select("conv_id")
-    return _digest(sections.markdown_chapters(several.join(n, "conv_id"), "text", F.lit("untitled")))
+    """A book with one chapter only is cut at its own heading, not at the chapter's."""
+    books = _assembled(spark, sf_dir, "'## ', role, ' ', turn").withColumn("text", F.concat(F.lit("# book\n"), "text"))
+    return _digest(sections.markdown_chapters(books, "text", F.lit("untitled")))
 
 
 # --- chats ------------------------------------------------------------------------------------
@@ -440,8 +500,7 @@ def agent_traces(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def corpus_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the cleaned, deduplicated corpus holds for each source and split."""
-    checked = _checked(spark, sf_dir).where("reason is null")
-    narrow = checked.select("source", "document", "ord", T.estimate_tokens(F.col("text")).alias("estimated_tokens"), T.exact_fingerprint(F.col("text")).alias("fp"))
+    narrow = _judged_narrow(spark, sf_dir).where("reason is null").withColumnRenamed("tokens", "estimated_tokens")
     kept = cleaning.keep_first(narrow, "fp", "ord")
     placed = splits.split_records(kept, splits.assign_by_source(kept, SEED))
     return placed.groupBy("source", "split").agg(F.count(F.lit(1)).alias("documents"), F.sum("estimated_tokens").cast("long").alias("tokens"))
