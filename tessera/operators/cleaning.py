@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tessera.functions.quality import QualityRules, rejection_reason
 from tessera.functions.text import estimate_tokens, exact_fingerprint, normalize_text
-from tessera.operators.sections import let
 from tessera.sources.scratch import keep
 
 
@@ -36,11 +35,16 @@ def mark_duplicates(docs: DataFrame, fingerprint_col: str, ord_col: str, keys: l
     return joined.withColumn("duplicate_of", F.when(~is_first, F.struct(*[F.col("_first")[k].alias(k) for k in keys]))).drop("_first")
 
 
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """df with a column whose value is computed once for each row, however often it is referred to: projections are not merged
+    across a generator."""
+    return df.withColumn(name, F.explode(F.array(value)))
+
+
 def quality_checked(records: DataFrame, rules: QualityRules | None = None) -> DataFrame:
     """Records with their normalised text and the reason for which they are rejected, if any."""
-    # bound once: rules refer to the text many times, and a filter on the reason would compute it anew for each
-    both = let(normalize_text(F.col("text")), lambda t: F.struct(t.alias("text"), rejection_reason(t, F.col("license"), rules).alias("reason")))
-    return records.withColumn("_checked", both).withColumns({"text": F.col("_checked.text"), "reason": F.col("_checked.reason")}).drop("_checked")
+    normal = once(records, "text", normalize_text(F.col("text")))
+    return once(normal, "reason", rejection_reason(F.col("text"), F.col("license"), rules))
 
 
 def contiguity_violations(records: DataFrame, keys: list[str], block: list[str]) -> DataFrame:

@@ -37,9 +37,16 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents for work on whole texts: a table of fewer splits than there are cores is dealt to all of them."""
+    d = _read(spark, sf_dir, "documents")
+    cores = spark.sparkContext.defaultParallelism
+    return d.repartition(cores) if d.rdd.getNumPartitions() < cores else d
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents as records of the corpus."""
-    d = _read(spark, sf_dir, "documents")
+    d = _texts(spark, sf_dir)
     doc = F.col("doc_id").cast("string")
     return d.select(
         T.stable_id(F.col("source"), doc).alias("id"), "source", doc.alias("document"), doc.alias("title"), F.lit("CC").alias("license"), F.col("lang").alias("language"), "text", F.lit("").alias("snapshot"),
@@ -155,7 +162,7 @@ def normalize_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"select doc_id, sha256({_FOLD('text')}) as fingerprint from documents")
 def fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _read(spark, sf_dir, "documents").select("doc_id", T.exact_fingerprint(F.col("text")).alias("fingerprint"))
+    return _texts(spark, sf_dir).select("doc_id", T.exact_fingerprint(F.col("text")).alias("fingerprint"))
 
 
 # --- quality and deduplication ------------------------------------------------------------------
@@ -186,7 +193,7 @@ def turn_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _narrow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _read(spark, sf_dir, "documents").select("doc_id", "source", T.exact_fingerprint(F.col("text")).alias("fp"))
+    return _texts(spark, sf_dir).select("doc_id", "source", T.exact_fingerprint(F.col("text")).alias("fp"))
 
 
 @query(f"select doc_id, fp as fingerprint from (select doc_id, sha256({_FOLD('text')}) as fp from documents) qualify row_number() over (partition by fp order by doc_id) = 1")
