@@ -2,68 +2,23 @@
 
 from __future__ import annotations
 
-import atexit
 import ctypes
 import gc
-import uuid
-from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.sources.scratch import keep, keep_result, shared_dir
+
+__all__ = ["keep", "keep_result", "shared_dir"]
 
 BATCH_ROWS = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share. Only where none is set, as in tests, it is one in the warehouse."""
-    there = spark.conf.get("spark.checkpoint.dir", None)
-    return there or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/tessera-work"
-
-
-_kept: list[tuple[SparkSession, str]] = []
-
-
-def keep(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back: lineage ends at files that outlive executors.
-
-    What is still there when the driver's process ends is removed then, and earlier by keep_result().
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    _kept.append((spark, path))
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def keep_result(make: Callable[[], DataFrame], name: str) -> DataFrame:
-    """keep() what make returns, and remove all tables that it kept on its way."""
-    before = len(_kept)
-    out = keep(make(), name)
-    inner = _kept[before:-1]
-    del _kept[before:-1]
-    _remove(inner)
-    return out
-
-
-def _remove(tables: list[tuple[SparkSession, str]]) -> None:
-    for spark, path in tables:
-        context = spark.sparkContext
-        where = context._jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(context._jvm.org.apache.hadoop.conf.Configuration() if context._jsc is None else context._jsc.hadoopConfiguration()).delete(where, True)
-
-
-@atexit.register
-def _remove_all() -> None:
-    try:
-        _remove(_kept)
-    except Exception:  # noqa: BLE001 - the JVM may be gone; the folder is a scratch folder
-        pass
-    _kept.clear()
+    """A table; one of fewer splits than there are cores is dealt to all of them."""
+    df, cores = spark.read.parquet(f"{sf_dir}/{name}.parquet"), spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

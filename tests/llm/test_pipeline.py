@@ -72,13 +72,13 @@ def test_rows_equal_in_id_and_text_leave_the_same_one(spark):
 
 
 def test_kept_tables_are_removed(spark, tmp_path):
-    from tessera.llm import common
+    from tessera.sources import scratch
 
-    before = len(common._kept)
-    out = common.keep_result(lambda: common.keep(spark.range(3).toDF("x"), "inner"), "outer")
-    assert len(common._kept) == before + 1 and out.count() == 3
-    inner = [p for _, p in common._kept if "/inner-" in p]
-    assert not inner
+    before = len(scratch._kept)
+    out = scratch.keep_result(lambda: scratch.keep(spark.range(3).toDF("x"), "inner"), "outer")
+    assert len(scratch._kept) == before + 1 and out.count() == 3
+    folder = scratch.shared_dir(spark)
+    assert not [n for n in os.listdir(folder) if n.startswith("inner-")] and [n for n in os.listdir(folder) if n.startswith("outer-")]
 
 
 def test_odd_rows(spark, odd_docs, no_docs, tmp_path):
