@@ -58,64 +58,71 @@ def type_name(value: Any) -> str:
 
 
 class Trace:
-    """The state of a walk: calls announced but not yet written, calls waiting for results, and the tools seen."""
+    """A walk over events: turns so far, and the open calls of the current group.
+
+    A group of calls is open until its results are in. Its calls are written as one turn when the first result comes, so
+    `written` says whether that has happened.
+    """
 
     def __init__(self, task: str) -> None:
         self.turns: list[dict[str, Any]] = [{"role": "user", "content": task}]
-        self.announced: list[dict[str, Any]] = []
-        self.waiting: list[dict[str, Any]] = []
+        self.open: list[dict[str, Any]] = []
+        self.written = 0  # how many of the open calls stand in a turn
         self.lead = ""
         self.tools: dict[str, tuple[str, list[dict]]] = {}
-        self.calls = 0
+        self.handlers = {"llm_end": self._on_text, "tool_start": self._on_call, "tool_end": self._on_result}
 
     def event(self, e: dict[str, Any]) -> None:
-        kind = e.get("event")
-        if kind in FAILED_EVENTS or e.get("invalid_tool_calls"):
+        if e.get("event") in FAILED_EVENTS or e.get("invalid_tool_calls"):
             raise Rejected("fatal_or_invalid_tool_event")
-        if kind == "llm_end":
-            self._spoke(str(e.get("text") or "").strip(), (e.get("generation_info") or {}).get("finish_reason"))
-        elif kind == "tool_start":
-            self._started(e.get("tool") or {}, e.get("input") or {})
-        elif kind == "tool_end":
-            self._ended(e.get("output"))
-
-    def _spoke(self, text: str, finish: str | None) -> None:
-        if finish == "tool_calls":
-            self.lead = text
-        elif text:
-            if self.announced or self.waiting:
+        handle = self.handlers.get(e.get("event"))
+        if handle:
+            handle(e)
+
+    def _on_text(self, e: dict[str, Any]) -> None:
+        text = str(e.get("text") or "").strip()
+        before_calls = (e.get("generation_info") or {}).get("finish_reason") == "tool_calls"
+        self.lead = text if before_calls else self.lead
+        if text and not before_calls:
+            if self.open:
                 raise Rejected("assistant_before_tool_group_complete")
             self.turns.append({"role": "assistant", "content": text})
 
-    def _started(self, tool: dict, given: Any) -> None:
-        name = str(tool.get("name") or "").strip()
+    def _on_call(self, e: dict[str, Any]) -> None:
+        about = e.get("tool") or {}
+        name = str(about.get("name") or "").strip()
         if not name:
             raise Rejected("missing_tool_name")
         try:
-            arguments = parse_arguments(given)
-        except ValueError as e:
-            raise Rejected(str(e)) from e
-        self.announced.append({"call_id": f"call_{self.calls}", "name": name, "arguments": arguments})
-        self.calls += 1
-        self.tools.setdefault(name, (str(tool.get("description") or ""), []))[1].append(arguments)
-
-    def _ended(self, output: Any) -> None:
-        if self.announced:  # the first result closes the group of parallel calls
-            self.turns.append({"role": "assistant", "content": self.lead, "tool_calls": self.announced})
-            self.waiting += self.announced
-            self.announced, self.lead = [], ""
-        if not self.waiting:
+            given = parse_arguments(e.get("input") or {})
+        except ValueError as wrong:
+            raise Rejected(str(wrong)) from wrong
+        number = sum(len(calls) for _, calls in self.tools.values())
+        self.tools.setdefault(name, (str(about.get("description") or ""), []))[1].append(given)
+        self.open.append({"call_id": f"call_{number}", "name": name, "arguments": given})
+
+    def _on_result(self, e: dict[str, Any]) -> None:
+        output = e.get("output")
+        if len(self.open) > self.written:
+            self.turns.append({"role": "assistant", "content": self.lead, "tool_calls": self.open[self.written :]})
+            self.lead = ""
+        if not self.open:
             raise Rejected("tool_result_without_call")
-        named = RESULT_NAME.search(output) if isinstance(output, str) else None
-        fitting = [k for k, c in enumerate(self.waiting) if named and c["name"] == named[1]]
-        call = self.waiting.pop(fitting[0] if fitting else 0)
+        call = self.open.pop(self._answered(output))
+        self.written = len(self.open)
         content = output_text(output)
         if not content.strip():
             raise Rejected("empty_tool_output")
         self.turns.append({"role": "tool", "call_id": call["call_id"], "name": call["name"], "content": content})
 
+    def _answered(self, output: Any) -> int:
+        """Which open call a result belongs to: the oldest one of the tool it names, else the oldest."""
+        m = RESULT_NAME.search(output) if isinstance(output, str) else None
+        names = [c["name"] for c in self.open]
+        return names.index(m[1]) if m and m[1] in names else 0
+
     def finished(self) -> list[dict[str, Any]]:
-        if self.announced or self.waiting or self.turns[-1]["role"] != "assistant":
+        if self.open or self.turns[-1]["role"] != "assistant":
             raise Rejected("incomplete_trajectory")
         return self.turns
 

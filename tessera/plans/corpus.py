@@ -13,7 +13,7 @@ from tessera.functions.quality import QualityRules
 from tessera.operators.cleaning import clean_records, quality_checked
 from tessera.operators.splits import assign_by_source, split_records
 from tessera.operators.stats import source_counts, split_counts
-from tessera.sources.readers import RECORD, require_identity
+from tessera.sources.readers import RECORD, require_identity, union_sources
 from tessera.sources.writers import counts, utc_now, write_json, write_splits
 
 STAMP = "created_at"
@@ -59,11 +59,31 @@ def build(records: DataFrame, output: str, work: str, config: CorpusConfig | Non
         manifest["documents_by_source_and_split"].setdefault(r["source"], {})[r["split"]] = r["documents"]
     manifest["estimated_tokens"] = {s: sum(r["tokens"] for r in table if r["split"] == s) for s in ("train", "validation", "test")}
     manifest["unique_documents"] = sum(r["documents"] for r in table)
-    if "://" not in output:
-        write_json(f"{output}/dataset_manifest.json", manifest)
+    write_json(f"{output.rstrip('/')}/dataset_manifest.json", manifest, records.sparkSession)
     return {"clean": cleaning, "split": manifest}
 
 
+def parse(parts: dict[str, DataFrame], output: str, config: CorpusConfig | None = None) -> tuple[DataFrame, dict[str, Any]]:
+    """All enabled sources' records, checked and written to output, and the stage's manifest beside them."""
+    records = require_identity(union_sources(parts, (config or CorpusConfig()).enabled_sources))
+    path, spark = f"{output.rstrip('/')}/documents.parquet", records.sparkSession
+    records.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    written = spark.read.schema(records.schema).parquet(path)
+    table = parse_counts(written).collect()
+    manifest = {
+        "stage": "parse", STAMP: utc_now(), "output": path, "records": sum(r["records"] for r in table), "estimated_tokens": sum(r["tokens"] for r in table),
+        "records_by_source": {r["source"]: r["records"] for r in table}, "estimated_tokens_by_source": {r["source"]: r["tokens"] for r in table},
+    }
+    write_json(f"{output.rstrip('/')}/manifest.json", manifest, spark)
+    return written, manifest
+
+
+def run(parts: dict[str, DataFrame], output: str, work: str, config: CorpusConfig | None = None) -> dict[str, Any]:
+    """The whole corpus from the sources' records: parse, clean, split, with a manifest for each stage."""
+    records, manifest = parse(parts, f"{work.rstrip('/')}/parsed", config)
+    return {"parse": manifest} | build(records, output, work, config)
+
+
 def parse_counts(records: DataFrame) -> DataFrame:
     """Records and tokens of each source after parsing."""
     return records.groupBy("source").agg(F.count(F.lit(1)).alias("records"), F.sum("estimated_tokens").alias("tokens"))

@@ -5,10 +5,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tessera import config
 from tessera.functions.text import estimate_tokens, stable_id, truthy
 from tessera.functions.values import metadata_object
+from tessera.operators.chat import global_index
 from tessera.operators.sections import markdown_chapters, markdown_sections, rst_sections
 
 FIELDS = ("id", "source", "document", "title", "license", "language", "text", "snapshot", "section", "estimated_tokens", "metadata")
@@ -38,6 +40,23 @@ def read_jsonl(spark: SparkSession, path: str | list[str], strict: bool = True,
     return lines.withColumn("v", F.when(is_object, v).otherwise(bad.cast("variant")))
 
 
+def row_numbers(lines: DataFrame) -> DataFrame:
+    """ord, row_in_file of all lines: their number among the file's lines, from 0. Only order values are moved, block by block."""
+    narrow = lines.select("ord", F.col("ord.file").alias("file"), F.col("ord.block").alias("block"))
+    sizes = narrow.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    # one row for each block of a file
+    offsets = sizes.select("file", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    own = narrow.withColumn("own", F.row_number().over(Window.partitionBy("file", "block").orderBy("ord.row")) - 1)
+    return own.join(offsets, ["file", "block"]).select("ord", (F.col("offset") + F.col("own")).alias("row_in_file"))
+
+
+def _numbered(rows: DataFrame, missing: Column, numbers: DataFrame, name: str) -> DataFrame:
+    """rows with a number for those that miss an identifier; the others are not moved for it."""
+    some = rows.where(missing).join(numbers, "ord").select(*[F.col(f"`{c}`") for c in rows.columns], name)
+    return rows.where(~missing).withColumn(name, F.lit(None).cast("long")).unionByName(some)
+
+
 def read_parquet_rows(spark: SparkSession, path: str, source_number: int = 0) -> DataFrame:
     """Parquet rows of all files below path, with ord."""
     df = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(path)
@@ -71,8 +90,9 @@ def _text_of(path: str) -> Column:
 def article_records(lines: DataFrame, revision: str) -> DataFrame:
     """Records of the article corpus: subset folders of JSON lines with ID, Category, Content, Metadata."""
     subset = F.element_at(F.split("ord.file", "/"), -2)
-    first_row = F.col("row_in_file") if "row_in_file" in lines.columns else F.col("ord.row")
-    key = F.coalesce(truthy(_text_of("ID")), truthy(_text_of("id")), F.concat(subset, F.lit("-"), first_row.cast("string")))
+    own = F.coalesce(truthy(_text_of("ID")), truthy(_text_of("id")))
+    lines = _numbered(lines, own.isNull(), row_numbers(lines), "row_in_file")
+    key = F.coalesce(own, F.concat(subset, F.lit("-"), F.col("row_in_file").cast("string")))
     category = F.coalesce(truthy(_text_of("Category")), truthy(_text_of("category")), subset)
     text = F.coalesce(truthy(_text_of("Content")), truthy(_text_of("content")), F.lit(""))
     raw = F.coalesce(F.expr("try_variant_get(v, '$.Metadata', 'string')"), F.expr("to_json(try_variant_get(v, '$.Metadata', 'variant'))"), F.expr("try_variant_get(v, '$.metadata', 'string')"))
@@ -89,10 +109,13 @@ def article_records(lines: DataFrame, revision: str) -> DataFrame:
 def collection_records(rows: DataFrame, revision: str) -> DataFrame:
     """Records of the collection corpus: Parquet with identifier, collection, title, license, language, token_count, text and more."""
     has = lambda c: F.col(c).cast("string") if c in rows.columns else F.lit(None).cast("string")
-    number = F.col("row_number") if "row_number" in rows.columns else F.col("ord.row")
-    key = F.coalesce(truthy(has("identifier")), F.concat(F.lit("row-"), number.cast("string")))
+    # rows without an identifier have their number over all files
+    places = global_index(rows.select("ord", F.col("ord.file").alias("file"), F.col("ord.row").alias("row")), "file", "row").select("ord", F.col("index").alias("_number"))
+    columns, own = rows.columns, truthy(has("identifier"))
+    rows = _numbered(rows, own.isNull(), places, "_number")
+    key = F.coalesce(own, F.concat(F.lit("row-"), F.col("_number").cast("string")))
     text, group = F.coalesce(has("text"), F.lit("")), F.coalesce(truthy(has("collection")), F.lit("unknown"))
-    rest = [c for c in rows.columns if c not in ("text", "identifier", "title", "license", "language", "token_count", "ord", "row_number")]
+    rest = [c for c in columns if c not in ("text", "identifier", "title", "license", "language", "token_count", "ord")]
     tokens = F.nullif(F.col("token_count").cast("long"), F.lit(0).cast("long")) if "token_count" in rows.columns else F.lit(None)
     return _record(
         rows, id=F.concat(F.lit("gsma-"), stable_id(key, text)), source=F.lit("gsma_tcc"), document=F.concat(group, F.lit("/"), key), section=group, title=F.coalesce(truthy(has("title")), key),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tessera.config import CorpusConfig, TrainerView
 from tessera.operators import splits, stats
 from tessera.operators.cleaning import clean_records, contiguity_violations, mark_duplicates, quality_checked
-from tessera.plans.corpus import build
+from tessera.plans.corpus import build, run
 from tessera.sources import downloads, readers, writers
 
 A = "BGP chooses paths using attributes and routing policy. " * 8
@@ -108,13 +108,59 @@ def test_article_and_collection_sources(spark, tmp_path):
     assert [(r["document"], r["title"], r["section"], r["snapshot"]) for r in got] == [("standard/standard-1", "T", "standard", "tele-revision"), ("standard/2", "2", "standard", "tele-revision")]
     assert json.loads(got[0]["metadata"]) == {"category": "standard", "upstream": {"title": "T"}} and json.loads(got[1]["metadata"])["upstream"] == {"raw": "free text"}
     df = spark.createDataFrame([("RFC1234", "IETF-RFCs", None, "en", "T", 7, A, "pub"), (None, None, "L", None, None, 0, B, None)], "identifier string, collection string, license string, language string, title string, token_count long, text string, publisher string")
-    df.write.parquet(str(tmp_path / "gsma"))
+    df.coalesce(1).write.parquet(str(tmp_path / "gsma"))
     got = {r["title"]: r for r in readers.collection_records(readers.read_parquet_rows(spark, str(tmp_path / "gsma")), "gsma-revision").collect()}
     r = got["T"]
     assert (r["document"], r["license"], r["estimated_tokens"], r["snapshot"]) == ("IETF-RFCs/RFC1234", "UNKNOWN_REVIEW_REQUIRED", 7, "gsma-revision")
     assert json.loads(r["metadata"]) == {"collection": "IETF-RFCs", "publisher": "pub"}
     (other,) = [x for t, x in got.items() if t != "T"]
-    assert other["document"].startswith("unknown/row-") and other["language"] == "en" and other["license"] == "L" and other["estimated_tokens"] == 110
+    assert other["document"] == "unknown/row-1" and other["language"] == "en" and other["license"] == "L" and other["estimated_tokens"] == 110
+
+
+def test_rows_without_an_id_are_numbered(spark, tmp_path):
+    """Articles by file, blank lines left out; collections over all files in order."""
+    for sub, n in (("a", 3), ("b", 2)):
+        (tmp_path / "tele" / sub).mkdir(parents=True)
+        (tmp_path / "tele" / sub / "x.jsonl").write_text("\n\n".join(json.dumps({"Content": f"{sub}{k}"} | ({"ID": "own"} if k == 1 else {})) for k in range(n)))
+    got = {r["text"]: r["document"] for r in readers.article_records(readers.read_jsonl(spark, str(tmp_path / "tele")), "r").collect()}
+    assert got == {"a0": "a/a-0", "a1": "a/own", "a2": "a/a-2", "b0": "b/b-0", "b1": "b/own"}
+    for k in range(2):
+        spark.createDataFrame([(None, f"t{k}{n}") for n in range(3)] + [("own", f"t{k}x")], "identifier string, text string").coalesce(1).write.parquet(str(tmp_path / "gsma" / f"p{k}"))
+    got = {r["text"]: r["document"] for r in readers.collection_records(readers.read_parquet_rows(spark, str(tmp_path / "gsma")), "r").collect()}
+    assert [got[f"t{k}{n}"] for k in range(2) for n in range(3)] == [f"unknown/row-{i}" for i in (0, 1, 2, 4, 5, 6)] and got["t1x"] == "unknown/own"
+
+
+def test_remote_manifests_counts_and_run_config(spark, fixture, tmp_path):
+    out = build(fixture, f"file://{tmp_path}/out", str(tmp_path / "work"))
+    assert json.load(open(tmp_path / "out" / "dataset_manifest.json"))["records"] == out["split"]["records"]
+    writers.write_json(f"file://{tmp_path}/m.json", {"a": 1}, spark)
+    writers.write_json(f"file://{tmp_path}/m.json", {"a": "\xe9"}, spark)
+    assert json.load(open(tmp_path / "m.json", encoding="utf-8")) == {"a": "\xe9"} and not os.path.exists(tmp_path / "m.json.part")
+    assert writers.write_jsonl(spark.range(7).toDF("x"), str(tmp_path / "seven")) == 7
+    made = writers.write_run_config(str(tmp_path / "run"), CorpusConfig())
+    assert json.load(open(tmp_path / "run" / "run_config.json")) == json.loads(json.dumps(made)) and made["config"]["seed"] == 42 and "pyspark" in made["versions"]
+
+
+def test_whole_corpus_run(spark, tmp_path):
+    (tmp_path / "tele" / "s").mkdir(parents=True)
+    (tmp_path / "tele" / "s" / "x.jsonl").write_text("\n".join(json.dumps({"ID": str(i), "Content": f"{i} {A}"}) for i in range(30)) + "\n")
+    parts = {"tele_data": readers.article_records(readers.read_jsonl(spark, str(tmp_path / "tele")), "r")}
+    out = run(parts, str(tmp_path / "out"), str(tmp_path / "work"))
+    assert out["parse"]["records"] == 30 and out["clean"]["accepted_records"] == 30 and out["split"]["records"] == {"train": 27, "validation": 2, "test": 1}
+    assert json.load(open(tmp_path / "work" / "parsed" / "manifest.json"))["records_by_source"] == {"tele_data": 30}
+
+
+def test_contiguity_over_ranges(spark):
+    import random
+
+    r = random.Random(3)
+    rows = [(f, r.choice("abc"), i) for f in range(3) for i in range(60)]
+    wanted = {}
+    for f, d, i in rows:
+        before = [x for x in rows if x[0] == f and x[2] == i - 1]
+        wanted[f, d] = wanted.get((f, d), 0) + (not before or before[0][1] != d)
+    got = contiguity_violations(spark.createDataFrame(rows, "f int, d string, ord int").repartition(3), ["d"], ["f"]).collect()
+    assert {(x["f"], x["d"]): x["runs"] for x in got} == {k: n for k, n in wanted.items() if n > 1}
 
 
 def test_bad_lines(spark, tmp_path):

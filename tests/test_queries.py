@@ -35,6 +35,45 @@ def test_query(spark, duck, tmp_path, name):
         assert duck.sql(f"select {cols} from {a} except all select {cols} from {b} limit 3").fetchall() == []
 
 
+def test_agent_traces_equal_a_plain_walk(spark):
+    """Calls of user turns, results of the others, oldest call first, written out for the made incidents."""
+    import hashlib
+    import json
+
+    turns = {}
+    for r in spark.read.parquet(f"{SF}/conversations.parquet").orderBy("conv_id", "turn").collect():
+        turns.setdefault(r["conv_id"], []).append((r["role"], r["text"]))
+
+    def walk(conv, said):
+        out, asked, fresh, n, seen = [{"role": "user", "content": "find it"}], [], [], 0, []
+        for role, text in said:
+            if role == "user":
+                fresh.append({"call_id": f"call_{n}", "name": "look", "arguments": {"q": text}})
+                seen.append(text)
+                n += 1
+                continue
+            if fresh:
+                out.append({"role": "assistant", "content": "", "tool_calls": fresh})
+                asked, fresh = asked + fresh, []
+            if not asked:
+                return "tool_result_without_call", None
+            call, asked = asked[0], asked[1:]
+            if not text.strip():
+                return "empty_tool_output", None
+            out.append({"role": "tool", "call_id": call["call_id"], "name": "look", "content": text})
+        if asked or fresh:
+            return "assistant_before_tool_group_complete", None
+        out.append({"role": "assistant", "content": "done"})
+        tool = {"name": "look", "description": "looks", "parameters": {"type": "object", "properties": {"q": {"type": "string"}}, "required": ["q"], "additionalProperties": False}}
+        meta = {"failure_type": f"kind{conv % 5}", "issue_category": "made", "incident_id": str(conv), "success": True, "original_source": queries.agent.AGENT["origin"], "is_anomaly": True, "faulty_devices": ["r1"], "root_cause_name": [], "scenario": "", "backend_model": "", "scenario_topo_size": ""}
+        row = {"id": f"nika_{conv}", "source": "nika", "task_type": "network_agent", "system": "You find faults.", "tools": [tool] if seen else [], "turns": out, "metadata": meta}
+        return None, hashlib.sha256(json.dumps(row, ensure_ascii=False, sort_keys=True).encode()).hexdigest()
+
+    got = {int(r["dir"].split("/")[-1]): (r["reason"], r["row_sha256"]) for r in queries.agent_traces(spark, SF).collect()}
+    wanted = {c: walk(c, said) for c, said in turns.items()}
+    assert got == wanted and len({r for r, _ in wanted.values()}) > 1
+
+
 def test_plans_reach_the_scan(spark):
     plan = queries.token_estimate(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan and "Python" not in plan
