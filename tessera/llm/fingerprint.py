@@ -81,7 +81,7 @@ def _hex(values: str) -> str:
 
 def _longs(text: str) -> str:
     """What _hex() wrote."""
-    return f"transform(filter(sequence(0, length({text}) div 16), k -> 16 * k < length({text})), k -> cast(conv(substr({text}, 16 * k + 1, 16), 16, -10) as bigint))"
+    return f"transform(regexp_extract_all({text}, '.{{16}}', 0), k -> cast(conv(k, 16, -10) as bigint))"
 
 
 def _one_table(digests: str) -> str:
@@ -108,20 +108,21 @@ def _fingerprint(digests: str) -> str:
     return _bind(_table(digests, "0"), "t0", f"concat(size({digests}), ':', {_hex('t0')}, {rest})")
 
 
-def _digests_of(parts: str) -> str:
-    """All digests of a fingerprint's parts (count, first sketch, tables)."""
+def _digests_of(parts: str, first: str) -> str:
+    """All digests of a fingerprint's parts (count, first sketch, tables); first: the first sketch's cells."""
     table = f"if(substr(tx, 1, 1) = '=', {_longs('substr(tx, 2)')}, {_bind('cast(substr(tx, 1, 1) as int)', 'salt', _peel(_longs('substr(tx, 2)'), 'salt'))})"
-    return f"if(size({parts}) = 2, {_peel(_longs(f'{parts}[1]'), '0')}, flatten(transform(slice({parts}, 3, size({parts}) - 2), tx -> {table})))"
+    return f"if(size({parts}) = 2, {_peel(first, '0')}, flatten(transform(slice({parts}, 3, size({parts}) - 2), tx -> {table})))"
 
 
-def _likeness(a: str, b: str) -> str:
-    """The likeness of two fingerprints."""
+def _likenesses(a: str, others: str) -> str:
+    """The likeness of a fingerprint to each of an array of others. Sketches are read once."""
     counts = "cast(pa[0] as int) + cast(pb[0] as int)"
-    minus = f"zip_with({_longs('pa[1]')}, {_longs('pb[1]')}, (x, y) -> x ^ y)"
+    minus = "zip_with(ca, cb, (x, y) -> x ^ y)"
     near = f"if(abs(cast(pa[0] as int) - cast(pb[0] as int)) > {MOST}, cast(null as int), size({_peel(minus, '0')}))"
-    exact = _bind(_digests_of("pa"), "da", _bind(_digests_of("pb"), "db", "size(array_except(da, db)) + size(array_except(db, da))"))
+    exact = _bind(_digests_of("pa", "ca"), "da", _bind(_digests_of("pb", "cb"), "db", "size(array_except(da, db)) + size(array_except(db, da))"))
     value = f"if({counts} = 0, 1.0D, 1.0D - coalesce({near}, {exact}) / cast({counts} as double))"
-    return _bind(f"split({a}, ':')", "pa", _bind(f"split({b}, ':')", "pb", value))
+    each = _bind("split(f, ':')", "pb", _bind(_longs("pb[1]"), "cb", value))
+    return _bind(f"split({a}, ':')", "pa", _bind(_longs("pa[1]"), "ca", f"transform({others}, f -> {each})"))
 
 
 def fingerprint_of(text: str) -> Column:
@@ -131,7 +132,7 @@ def fingerprint_of(text: str) -> Column:
 
 def likeness(a: str, b: str) -> Column:
     """The likeness of two columns of fingerprints."""
-    return F.expr(_likeness(a, b))
+    return F.expr(f"{_likenesses(a, f'array({b})')}[0]")
 
 
 def _index(starts: list[int], key):
@@ -175,5 +176,5 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     edited = rows.withColumn("edited", F.concat(F.expr("substring(text, 1, length(text) - cast(floor(length(text) / 4) as int))"), F.substring("next_text", F.lit(1), tail)))
     whole = edited.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", fingerprint_of("edited").alias("edited_fingerprint"), "next_fingerprint")
     # one expression for both comparisons: what a task compiles stays small
-    compared = whole.withColumn("near", F.expr(f"transform(array(edited_fingerprint, next_fingerprint), f -> {_likeness('fingerprint', 'f')})"))
+    compared = whole.withColumn("near", F.expr(_likenesses("fingerprint", "array(edited_fingerprint, next_fingerprint)")))
     return compared.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", F.expr("near[0]").alias("near_edited"), F.expr("near[1]").alias("near_next"))

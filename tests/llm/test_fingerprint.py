@@ -79,7 +79,7 @@ def test_two_strings_are_enough(spark):
     stored = [(r["fingerprint"], r["edited_fingerprint"], got[(k + 1) % len(got)]["fingerprint"], r["near_edited"], r["near_next"]) for k, r in enumerate(got)]
     again = spark.createDataFrame(stored, "a string, e string, n string, x double, y double").select(fingerprint.likeness("a", "e").alias("e"), fingerprint.likeness("a", "n").alias("n"), "x", "y").collect()
     assert all(r["e"] == r["x"] and r["n"] == r["y"] for r in again)
-    sets = spark.createDataFrame([(r["fingerprint"],) for r in got], "f string").selectExpr(f"transform(array(split(f, ':')), ps -> {fingerprint._digests_of('ps')})[0] as d").collect()
+    sets = spark.createDataFrame([(r["fingerprint"],) for r in got], "f string").selectExpr(f"transform(array(split(f, ':')), ps -> {fingerprint._digests_of('ps', fingerprint._longs('ps[1]'))})[0] as d").collect()
     assert [len(set(r["d"])) for r in sets] == [len(pieces(t or "")) for _, t in sorted(rows)]
     assert any(":" in r["fingerprint"][800:] for r in got)
 
