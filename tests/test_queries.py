@@ -35,6 +35,16 @@ def test_query(spark, duck, tmp_path, name):
         assert duck.sql(f"select {cols} from {a} except all select {cols} from {b} limit 3").fetchall() == []
 
 
+def test_perplexity_next_to_a_half(spark, tmp_path):
+    """The JVM's and the C library's exp differ in the last bit, and the first value's sixth decimal with it."""
+    rows = list(enumerate([91.23645416485998, None, float("nan"), float("inf"), float("-inf"), -0.0, -290.17, 99.99999999999999, 100.0, 2000.0]))
+    spark.createDataFrame(rows, "event_id long, value double").write.parquet(str(tmp_path / "events.parquet"))
+    con = duckdb.connect()
+    con.execute(f"create view events as select * from '{tmp_path}/events.parquet/*.parquet'")
+    got = sorted(tuple(r) for r in queries.perplexity(spark, str(tmp_path)).collect())
+    assert got == sorted(con.sql(queries.ORACLES["perplexity"]).fetchall()) and got[0][1] == 95.757859
+
+
 def test_agent_traces_equal_a_plain_walk(spark):
     """Calls of user turns, results of the others, oldest call first, written out for the made incidents."""
     import hashlib
