@@ -1,5 +1,6 @@
 """Every query with SQL against DuckDB, on the smallest tables."""
 
+import math
 import os
 
 import duckdb
@@ -45,6 +46,25 @@ def test_perplexity_next_to_a_half(spark, tmp_path):
     assert got == sorted(con.sql(queries.ORACLES["perplexity"]).fetchall()) and got[0][1] == 95.757859
 
 
+def test_perplexity_up_to_a_loss_of_100(spark, tmp_path):
+    """exp of every loss below 100, not below 5, to the last bit; infinite, not 1e308, from there on; null for a null."""
+    rows = list(enumerate([100.0, 122.79, 560.21, 1999.9999999999998, 2000.0, float("inf"), float("nan"), None, *(k * 0.837 for k in range(2500))]))
+    spark.createDataFrame(rows, "event_id long, value double").write.parquet(str(tmp_path / "events.parquet"))
+    got = {r["event_id"]: (r["perplexity"], r["infinite"]) for r in queries.perplexity(spark, str(tmp_path)).collect()}
+    for i, v in rows:
+        p, infinite = got[i]
+        if v is None:
+            assert p is None and infinite is None
+        elif v < 2000:
+            e = math.exp(v / 20)
+            assert abs(p - e) <= 5.1e-7 + e * 2.3e-16 and not infinite
+        else:
+            assert p == math.inf and infinite
+    con = duckdb.connect()
+    con.execute(f"create view events as select * from '{tmp_path}/events.parquet/*.parquet'")
+    assert {r[0]: r[1:] for r in con.sql(queries.ORACLES["perplexity"]).fetchall()} == got
+
+
 def test_agent_traces_equal_a_plain_walk(spark):
     """Calls of user turns, results of the others, oldest call first, written out for the made incidents."""
     import hashlib
